@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioforge.plans import problems
+from folioforge.plans import announcements, problems
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,8 @@ def queries() -> dict[str, Query]:
     return {
         "p1_found": problems.p1_found,
         "p2_found": problems.p2_found,
+        "p3_found": announcements.p3_found,
+        "p3_matches": announcements.p3_matches,
         "p4_found": problems.p4_found,
         "p4_periods": problems.p4_periods,
     }
