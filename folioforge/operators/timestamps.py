@@ -127,7 +127,7 @@ def with_instant(df: DataFrame, value: Column, tz: Column, order: Column, out: s
     t = "__ts_" + out
     raw = F.trim(F.regexp_replace(F.translate(value.cast("string"), WIDE, NARROW), r"\s+", " "))
     kept = df.columns if out not in df.columns else [c for c in df.columns if c != out]
-    s = df.withColumns({t + "tz": tz, t + "order": order, t: F.regexp_replace(raw, PATTERN, _REPLACEMENT)})
+    s = df.withColumns({t + "tz": tz, t + "order": order, t: once(F.regexp_replace(raw, PATTERN, _REPLACEMENT))})
     s = s.withColumn(t, F.when(F.startswith(t, F.lit(_MARK)), F.split(F.substr(t, F.lit(2)), _SEP, -1)))
     part = {k: F.nullif(F.get(t, F.lit(n)), F.lit("")) for n, k in enumerate(_PARTS)}
     num = {k: part[k].cast("bigint") for k in ("y", "m", "d", "n1", "n2", "h", "i", "s")}
@@ -142,7 +142,7 @@ def with_instant(df: DataFrame, value: Column, tz: Column, order: Column, out: s
     ).otherwise(_lookup(ZONES, part["abbr"]))
     s = s.withColumns({
         t + "epoch": part["epoch"],
-        t + "y": num["y"],
+        t + "y": once(num["y"]),  # keeps the layers apart: one method of generated code each, small enough to be compiled
         t + "m": F.coalesce(num["m"], _lookup(months, part["mon"]), F.when(dmy, num["n2"]).when(mdy, num["n1"])),
         t + "d": F.coalesce(num["d"], F.when(dmy, num["n1"]).when(mdy, num["n2"])),
         t + "timed": num["h"].isNotNull(),
@@ -156,10 +156,10 @@ def with_instant(df: DataFrame, value: Column, tz: Column, order: Column, out: s
     y, m, d, h, i, sec = (f"`{t}{k}`" for k in ("y", "m", "d", "h", "i", "s"))
     valid = f"{y} between 1 and 9999 and {m} between 1 and 12 and {d} between 1 and {days_in_month(y, m)} and {h} between 0 and 23 and {i} between 0 and 59 and {sec} between 0 and 59"
     local = f"(((({days_from_civil(y, m, d)} * 24 + {h}) * 60 + {i}) * 60 + {sec}) * 1000 + `{t}ms`)"
-    s = s.withColumn(t + "local", F.expr(f"case when {valid} then {local} end"))
+    s = s.withColumn(t + "local", once(F.expr(f"case when {valid} then {local} end")))
     # a time that occurred twice comes out as the first, one that never occurred is moved, which the way back shows
     ok_zone = F.col(t + "off").isNull() & F.col(t + "local").isNotNull()
-    s = s.withColumn(t + "utc", F.when(ok_zone, F.to_utc_timestamp(F.timestamp_millis(t + "local"), F.col(t + "region"))))
+    s = s.withColumn(t + "utc", once(F.when(ok_zone, F.to_utc_timestamp(F.timestamp_millis(t + "local"), F.col(t + "region")))))
     same = F.unix_millis(F.from_utc_timestamp(t + "utc", F.col(t + "region"))) == F.col(t + "local")
     epoch = F.expr(
         f"case length(`{t}epoch`) when 10 then cast(`{t}epoch` as bigint) * 1000 when 13 then cast(`{t}epoch` as bigint)"

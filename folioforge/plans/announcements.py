@@ -21,6 +21,7 @@ from folioforge.functions.phonetic import ngrams, script, skeleton, sounds
 from folioforge.functions.text import once
 from folioforge.operators.entity_match import best_match, match_marginals
 from folioforge.plans.problems import channel_instants, post_instants, post_key
+from folioforge.session import checkpoint
 from folioforge.sources.tables import Blogs, table
 
 HOUR = 3_600_000
@@ -162,17 +163,19 @@ def pair_weight(title: str, name: str, slug: str, lang: str, post_title: str | N
 def announcement_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Candidate pairs (id, lang, slug) with the log-odds of their evidence."""
     blogs = Blogs.read(table(spark, folder, "blogs"))
-    raw = table(spark, folder, "all_posts").select("url", "lastmod", "published_time")
-    timed = post_instants(post_instants(raw, blogs, "published_time", "pub"), blogs, "lastmod", "mod")
     lang, slug = post_key(blogs, F.col("url"))
-    posts = timed.select(lang.alias("lang"), slug.alias("slug"), "pub", "mod").filter("lang is not null and slug <> ''")
-    posts = posts.groupBy("lang", "slug").agg(F.max("pub").alias("pub"), F.min("mod").alias("mod"))
+    listed = table(spark, folder, "all_posts").select("url", "lastmod", "published_time", lang.alias("lang"), slug.alias("slug")).filter("lang is not null and slug <> ''")
+    posts = checkpoint(post_instants(listed, blogs, "published_time", "pub").groupBy("lang", "slug").agg(F.max("pub").alias("pub")))
+    # what it was changed last is read only where no published time is known
+    untimed = listed.join(posts.filter("pub is null").select("lang", "slug"), ["lang", "slug"], "left_semi")
+    changed = post_instants(untimed, blogs, "lastmod", "mod").groupBy("lang", "slug").agg(F.min("mod").alias("mod"))
+    posts = posts.join(changed, ["lang", "slug"], "left")
     lang, slug = post_key(blogs, F.col("post_url"))
     og = F.regexp_extract("html", r'property="og:title"\s+content="([^"]*)"', 1)
     h1 = F.regexp_replace(F.regexp_extract("html", r"(?s)<h1[^>]*>(.*?)</h1>", 1), r"<[^>]*>", "")
     title = F.coalesce(F.nullif(F.trim(og), F.lit("")), F.nullif(F.trim(h1), F.lit("")), F.nullif(F.regexp_extract("html", _HEADLINE, 1), F.lit("")))
     titles = table(spark, folder, "html").select("page_id", lang.alias("lang"), slug.alias("slug"), once(title).alias("title"))
-    titles = titles.filter("lang is not null and slug <> '' and title is not null").groupBy("lang", "slug").agg(F.min_by("title", "page_id").alias("title"))
+    titles = checkpoint(titles.filter("lang is not null and slug <> '' and title is not null").groupBy("lang", "slug").agg(F.min_by("title", "page_id").alias("title")))
     labels, model = fit_wording(titles)
 
     # the rarest word of a slug is its name, of equally rare ones the longest
@@ -181,6 +184,7 @@ def announcement_pairs(spark: SparkSession, folder: str) -> DataFrame:
     names = words.join(usual, "word").groupBy("lang", "slug").agg(F.min_by("word", F.struct("n", -F.length("word"), "word")).alias("name"))
     posts = posts.join(names, ["lang", "slug"]).join(titles, ["lang", "slug"], "left")
     posts = posts.select("lang", "slug", "name", F.col("title").alias("post_title"), F.coalesce("pub", "mod").alias("at"), F.col("pub").isNotNull().alias("exact")).filter("at is not null")
+    posts = checkpoint(posts)
     keyed = posts.mapInPandas(post_keys, posts.schema.simpleString().removeprefix("struct<").removesuffix(">") + ",names array<bigint>,grams array<bigint>")
     width = (BEFORE + AFTER) * HOUR
     bucket = lambda c: F.floor(c / F.lit(width))
