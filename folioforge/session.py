@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,3 +50,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df as a written table in the shared folder: columnar, compressed, and read again by any number of consumers."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/folioforge-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
