@@ -72,3 +72,39 @@ def with_image_key(df: DataFrame, url: Column, out: str) -> DataFrame:
     df = df.withColumn("__cleaned", F.substr("__cleaned", F.instr("__cleaned", "//") + F.when(F.instr("__cleaned", "//") > 0, 2).otherwise(1)))
     host = F.substring_index("__cleaned", "/", 1)
     return df.withColumn(out, once(F.concat(F.lower(host), F.substr("__cleaned", F.length(host) + 1)))).drop("__cleaned")
+
+
+def link_key(url: Column) -> Column:
+    """Key of a link for matching snapshots: lower-case host and percent-decoded path without size segment and slash at the end.
+
+    Scheme, query and port are ignored; the root path stays `/`, an empty one ''.
+    """
+    raw = F.lower(F.regexp_replace(F.regexp_extract(url, _PARTS, 1), r"^(?:[^@]*@)?([^:]*)(?::\d*)?$", "$1"))
+    path = F.regexp_replace(percent_decoded(path_of(url)), SIZE_SEGMENT, "")
+    return F.concat(raw, F.when(path == "/", path).otherwise(F.rtrim(path, F.lit("/"))))
+
+
+def is_drive_host(host: Column, hosts: tuple[str, ...], suffix: str) -> Column:
+    return F.lower(host).isin(*hosts) | F.endswith(F.lower(host), F.lit(suffix))
+
+
+def snapshot_image_url(url: Column) -> Column:
+    """URL of an archive snapshot with the mark for unchanged content after its timestamp."""
+    return F.regexp_replace(url, r"(/web/\d{1,14})(?:[a-z]{2}_)?/", "$1im_/")
+
+
+def original_of_snapshot(url: Column) -> Column:
+    """URL that an archive snapshot was taken of; other URLs stay."""
+    return F.regexp_replace(url, r"^https?://web\.archive\.org/web/\d{1,14}(?:[a-z]{2}_)?/", "")
+
+
+def moved(url: Column, host: str, to_host: str, prefix: str) -> Column:
+    """URL on another host below a path prefix, if it is on `host`; null otherwise."""
+    return F.when(F.lower(F.regexp_extract(url, _PARTS, 1)) == host, F.concat(F.lit(f"https://{to_host}{prefix}"), path_of(url)))
+
+
+def language_variant(url: Column, host: Column, suffix: Column) -> Column:
+    """URL on another language's host, with a `_KO` mark before `.`, `_` or `-` replaced by that language's."""
+    swapped = F.concat(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.\-]*://)", 1), host, F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(.*)$", 1))
+    tail = F.split(swapped, r"(?i)_ko(?=[._\-])", -1)
+    return F.concat(F.get(tail, F.lit(0)), F.aggregate(F.slice(tail, 2, F.greatest(F.size(tail) - 1, F.lit(0))), F.lit(""), lambda acc, x: F.concat(acc, suffix, x)))
