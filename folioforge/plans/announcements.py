@@ -28,11 +28,11 @@ HOUR = 3_600_000
 #: an announcement is looked for from so many hours before to so many hours after publication
 BEFORE, AFTER = 36, 84
 #: titles that the wording model is fitted on at most, and the number of hashed features
-MODEL_TITLES, MODEL_FEATURES = 20_000, 1 << 13
+MODEL_TITLES, MODEL_FEATURES = 5_000, 1 << 13
 #: sound keys shorter than this say too little
 LEAST_KEY, LONGEST_KEY = 2, 12
 #: titles that share fewer of the channel title's letters are candidates by the name only
-SHARE = 0.5
+SHARE = 0.65
 
 _DATE = r"(?:\d{4}\s?[-./년年]\s?\d{1,2}\s?[-./월月]\s?\d{1,2}|\d{1,2}[./-]\d{1,2}[./-]\d{4}|\d{1,2}\.?(?:er)? \p{L}{3,9}\.? \d{4}|\p{L}{3,9}\.? \d{1,2}, \d{4})"
 _HEADLINE = rf"(?m)^[ \t]*(\S[^\n]*?)[ \t]*\n\s*{_DATE}[^\n]{{0,25}}$"
@@ -80,8 +80,8 @@ def fit_wording(titles: DataFrame) -> tuple[list[str], np.ndarray]:
     return labels, np.log(table_ / table_.sum(axis=1, keepdims=True))
 
 
-def _keys(sounds: str, kind: str) -> list[int]:
-    return [(hash_of(f"{kind}:{s}") & 0xFFFFFFFFFFFFFFFF) - (1 << 63) for s in sounds]
+def _keys(forms, kind: str) -> list[str]:
+    return [f"{kind}:{f}" for f in sorted(forms)]
 
 
 def _script_of_lang(lang: str) -> str:
@@ -104,8 +104,8 @@ def post_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for lang, name, title in zip(b["lang"], b["name"], b["post_title"]):
             s = skeleton(name)[:LONGEST_KEY]
             forms = {s} | ({s[:i] + s[i + 1 :] for i in range(len(s))} if len(s) > 3 else set()) | ({s[:i] + s[i] + s[i:] for i in range(len(s))} if len(s) > 2 else set())
-            names.append(_keys(sorted(f for f in forms if len(f) >= LEAST_KEY), _script_of_lang(lang)))
-            grams.append(_keys(sorted(ngrams(html.unescape(title), 3)), "g" + _script_of_lang(lang)) if isinstance(title, str) else [])
+            names.append(_keys([f for f in forms if len(f) >= LEAST_KEY], _script_of_lang(lang)))
+            grams.append(_keys(ngrams(html.unescape(title), 3), "g" + _script_of_lang(lang)) if isinstance(title, str) else [])
         yield b.assign(names=names, grams=grams)
 
 
@@ -116,8 +116,8 @@ def channel_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for title in b["title"]:
             s = skeleton(title)
             forms = {s[i:j] for i in range(len(s)) for j in range(i + LEAST_KEY, min(len(s), i + LONGEST_KEY) + 1)}
-            names.append(_keys(sorted(forms), script(title)))
-            grams.append(_keys(sorted(ngrams(plain_title(title), 3)), "g" + script(title)))
+            names.append(_keys(forms, script(title)))
+            grams.append(_keys(ngrams(plain_title(title), 3), "g" + script(title)))
         yield b.assign(names=names, grams=grams)
 
 
@@ -132,7 +132,7 @@ def pair_weight(title: str, name: str, slug: str, lang: str, post_title: str | N
     heard, own = sounds(title), sounds(name)
     bones, own_bones = skeleton(title), skeleton(name)
     plain = plain_title(title)
-    told, other = ngrams(plain), ngrams(post_title) if post_title is not None else set()
+    told, other = ngrams(plain), ngrams(post_title) if post_title is not None else frozenset()
     if len(own) > 2 and own in heard:
         w += 4.0 if len(own) > 3 else 3.0
     elif len(own_bones) > 1 and own_bones in bones:
@@ -164,12 +164,16 @@ def announcement_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Candidate pairs (id, lang, slug) with the log-odds of their evidence."""
     blogs = Blogs.read(table(spark, folder, "blogs"))
     lang, slug = post_key(blogs, F.col("url"))
+    # the spellings of a post's times are gathered first, a set of at most one per snapshot: each is read once, and what
+    # was changed last only where no published time is known
     listed = table(spark, folder, "all_posts").select("url", "lastmod", "published_time", lang.alias("lang"), slug.alias("slug")).filter("lang is not null and slug <> ''")
-    posts = checkpoint(post_instants(listed, blogs, "published_time", "pub").groupBy("lang", "slug").agg(F.max("pub").alias("pub")))
-    # what it was changed last is read only where no published time is known
-    untimed = listed.join(posts.filter("pub is null").select("lang", "slug"), ["lang", "slug"], "left_semi")
-    changed = post_instants(untimed, blogs, "lastmod", "mod").groupBy("lang", "slug").agg(F.min("mod").alias("mod"))
-    posts = posts.join(changed, ["lang", "slug"], "left")
+    listed = listed.groupBy("lang", "slug").agg(F.min("url").alias("url"), F.collect_set(F.nullif("published_time", F.lit(""))).alias("pubs"), F.collect_set(F.nullif("lastmod", F.lit(""))).alias("mods"))
+    listed = checkpoint(listed)
+    published = post_instants(listed.select("lang", "slug", "url", F.explode("pubs").alias("value")), blogs, "value", "pub").groupBy("lang", "slug").agg(F.max("pub").alias("pub"))
+    published = checkpoint(published.filter("pub is not null"))
+    untimed = listed.join(published, ["lang", "slug"], "left_anti").select("lang", "slug", "url", F.explode("mods").alias("value"))
+    changed = post_instants(untimed, blogs, "value", "mod").groupBy("lang", "slug").agg(F.min("mod").alias("mod"))
+    posts = published.withColumn("mod", F.lit(None).cast("bigint")).unionByName(changed.withColumn("pub", F.lit(None).cast("bigint")))
     lang, slug = post_key(blogs, F.col("post_url"))
     og = F.regexp_extract("html", r'property="og:title"\s+content="([^"]*)"', 1)
     h1 = F.regexp_replace(F.regexp_extract("html", r"(?s)<h1[^>]*>(.*?)</h1>", 1), r"<[^>]*>", "")
@@ -184,25 +188,30 @@ def announcement_pairs(spark: SparkSession, folder: str) -> DataFrame:
     names = words.join(usual, "word").groupBy("lang", "slug").agg(F.min_by("word", F.struct("n", -F.length("word"), "word")).alias("name"))
     posts = posts.join(names, ["lang", "slug"]).join(titles, ["lang", "slug"], "left")
     posts = posts.select("lang", "slug", "name", F.col("title").alias("post_title"), F.coalesce("pub", "mod").alias("at"), F.col("pub").isNotNull().alias("exact")).filter("at is not null")
-    posts = checkpoint(posts)
-    keyed = posts.mapInPandas(post_keys, posts.schema.simpleString().removeprefix("struct<").removesuffix(">") + ",names array<bigint>,grams array<bigint>")
+    # numbered, so that what is shuffled by key is numbers only
+    posts = checkpoint(posts.withColumn("post_no", F.monotonically_increasing_id()))
+    keyed = posts.select("post_no", "lang", "name", "post_title", "at").mapInPandas(post_keys, "post_no bigint, lang string, name string, post_title string, at bigint, names array<string>, grams array<string>")
     width = (BEFORE + AFTER) * HOUR
     bucket = lambda c: F.floor(c / F.lit(width))
     channel = channel_instants(table(spark, folder, "channel_posts").select("row_id", "id", "title", "published_at", "sort"), "ms")
     channel = channel.select("id", "title", F.coalesce("ms", F.expr("sort div 10")).alias("ms")).filter("id is not null and title is not null and ms is not null")
-    sounded = channel.mapInPandas(channel_keys, "id bigint, title string, ms bigint, names array<bigint>, grams array<bigint>")
+    channel = checkpoint(channel.withColumn("title_no", F.monotonically_increasing_id()))
+    sounded = channel.select("title_no", "title", "ms").mapInPandas(channel_keys, "title_no bigint, title string, ms bigint, names array<string>, grams array<string>")
 
     # Two titles that share at least SHARE of the channel title's letters share one of its rarest; the rarest are enough of
     # them that the rest is less than SHARE.
-    usual = keyed.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
-    counted = sounded.select("id", "title", "ms", F.size("grams").alias("of"), F.explode("grams").alias("gram")).join(usual, "gram", "left")
-    rare = counted.groupBy("id", "title", "ms", "of").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram"))).alias("grams"))
-    rare = rare.select("id", "title", "ms", F.expr(f"transform(filter(slice(grams, 1, of - cast(ceil({SHARE} * of) as int) + 1), g -> g.n > 0), g -> g.gram)").alias("keys"))
-    asked = sounded.select("id", "title", "ms", F.col("names").alias("keys")).unionByName(rare).select("id", "title", "ms", bucket(F.col("ms")).alias("bucket"), F.explode("keys").alias("key"))
-    held = keyed.select("lang", "slug", "at", F.explode(F.array_distinct(F.array(bucket(F.col("at") - BEFORE * HOUR), bucket(F.col("at") + AFTER * HOUR)))).alias("bucket"), F.concat("names", "grams").alias("keys"))
-    held = held.select("lang", "slug", "at", "bucket", F.explode("keys").alias("key"))
-    near = asked.join(held, ["bucket", "key"]).filter(f"ms between at - {BEFORE * HOUR} and at + {AFTER * HOUR}")
-    near = near.select("id", "title", "ms", "lang", "slug").distinct().join(posts, ["lang", "slug"])
+    hashed = lambda c: F.xxhash64(c).alias("key")
+    usual = keyed.select(F.explode("grams").alias("gram")).select(hashed("gram")).groupBy("key").agg(F.count("*").alias("n"))
+    counted = sounded.select("title_no", "ms", F.size("grams").alias("of"), F.explode("grams").alias("gram")).select("title_no", "ms", "of", hashed("gram")).join(usual, "key", "left")
+    rare = counted.groupBy("title_no", "ms", "of").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key"))).alias("grams"))
+    rare = rare.select("title_no", "ms", F.explode(F.expr(f"filter(slice(grams, 1, of - cast(ceil({SHARE} * of) as int) + 1), g -> g.n > 0)")).alias("g")).select("title_no", "ms", "g.key")
+    named = sounded.select("title_no", "ms", F.explode("names").alias("form")).select("title_no", "ms", hashed("form"))
+    asked = named.unionByName(rare).select("title_no", "ms", "key", bucket(F.col("ms")).alias("bucket"))
+    held = keyed.select("post_no", "at", F.explode(F.concat("names", "grams")).alias("form")).select("post_no", "at", hashed("form"))
+    held = held.select("post_no", "at", "key", F.explode(F.array_distinct(F.array(bucket(F.col("at") - BEFORE * HOUR), bucket(F.col("at") + AFTER * HOUR)))).alias("bucket"))
+    near = asked.join(held, ["bucket", "key"]).filter(f"ms between at - {BEFORE * HOUR} and at + {AFTER * HOUR}").select("title_no", "post_no").distinct()
+    # by title last, so that what a title needs is calculated once
+    near = near.join(posts, "post_no").join(channel, "title_no")
 
     def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[str, dict[str, float]] = {}
@@ -213,7 +222,7 @@ def announcement_pairs(spark: SparkSession, folder: str) -> DataFrame:
                     if len(seen) > 50_000:
                         seen.clear()
                     scores = model[:, _features(title)].sum(axis=1) if labels else np.zeros(0)
-                    seen[title] = dict(zip(labels, scores - scores.max())) if labels else {}
+                    seen[title] = dict(zip(labels, (scores - scores.max()).tolist())) if labels else {}
                 known = html.unescape(post_title) if isinstance(post_title, str) else None
                 out.append(pair_weight(title, name, slug_, lang_, known, (ms - at) / HOUR, bool(exact), seen[title]))
             yield pd.DataFrame({"id": b["id"], "post": b["lang"] + "/" + b["slug"], "weight": out})
