@@ -69,3 +69,26 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 def p4_periods(spark: SparkSession, folder: str) -> DataFrame:
     """Orphan references counted per table, month and reason."""
     return per_table_and_period(p4_found(spark, folder))
+
+
+def _image_key_sql(url: str) -> str:
+    no_ref = f"regexp_replace(regexp_replace(regexp_replace({url}, '([?&])ref=[^&#]*(&|$)', '\\1', 'g'), '[?&]$', ''), '(?i)/size/w\\d+(?:h\\d+)?', '', 'g')"
+    bare = f"rtrim(regexp_replace(regexp_replace({no_ref}, '^\\s*(?:[A-Za-z]+:)?//', ''), '(?i)^(cdn\\.[^/]+/image/[a-z]+/[a-z]{{2}})/[po]/', '\\1/'), '/ ')"
+    return f"lower(split_part({bare}, '/', 1)) || substr({bare}, length(split_part({bare}, '/', 1)) + 1)"
+
+
+_HOST = "regexp_replace(lower(regexp_extract(u, '^\\s*(?:[A-Za-z]+:)?//([^/:?#]*)', 1)), '^www\\.', '')"
+_SLUG = "lower(url_decode(replace(regexp_extract(regexp_replace(regexp_replace(u, '[?#].*$', ''), '[/\\s]+$', ''), '([^/]+)$', 1), '+', '%2B')))"
+#: SQL of p4_found
+P4_SQL = f"""
+WITH snaps AS (SELECT snap_no, min(snapshot_date::DATE) AS d FROM all_posts GROUP BY snap_no),
+listed AS (SELECT DISTINCT b.lang, slug, d FROM (SELECT snap_no, {_HOST} AS host, {_SLUG} AS slug FROM (SELECT snap_no, url AS u FROM all_posts)) a JOIN blogs b USING (host) JOIN snaps USING (snap_no)),
+done AS (SELECT done_id, done_at, coalesce(b.lang, '') AS lang, slug, (SELECT max(d) FROM snaps WHERE d <= done_at::DATE) AS cur FROM (SELECT done_id, done_at, {_HOST} AS host, {_SLUG} AS slug FROM (SELECT done_id, done_at, post_url AS u FROM done_html WHERE trim(post_url) <> '')) LEFT JOIN blogs b USING (host)),
+posts AS (SELECT done_id, any_value(done_at) AS done_at, count(l.d) AS n, count(*) FILTER (WHERE l.d = cur) AS now, count(*) FILTER (WHERE l.d < cur) AS earlier FROM done LEFT JOIN listed l USING (lang, slug) GROUP BY done_id),
+kept AS (SELECT {_image_key_sql("u")} AS k, downloaded_at AS s, removed_at AS e FROM (SELECT regexp_replace(dl_key, '^(main|thumb):', '') AS u, * FROM downloaded_urls)),
+refs AS (SELECT map_id, logged_at AS t, {_image_key_sql("u")} AS k FROM (SELECT map_id, logged_at, url AS u FROM image_map)),
+files AS (SELECT map_id, any_value(t) AS t, count(kept.k) AS n, count(*) FILTER (WHERE s <= t AND (e IS NULL OR e > t)) AS held, count(*) FILTER (WHERE s <= t) AS started FROM refs LEFT JOIN kept USING (k) GROUP BY map_id)
+SELECT 'done_html' AS tab, done_id AS ref_id, strftime(done_at, '%Y-%m') AS period, CASE WHEN n = 0 THEN 'missing' WHEN earlier > 0 THEN 'deleted' ELSE 'late' END AS reason FROM posts WHERE now = 0
+UNION ALL
+SELECT 'image_map', map_id, strftime(t, '%Y-%m'), CASE WHEN n = 0 THEN 'missing' WHEN started = 0 THEN 'late' ELSE 'deleted' END FROM files WHERE held = 0
+"""

@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioforge.plans import announcements, problems
+from folioforge.plans import announcements, archive, problems
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {
+    named = {
         "p1_found": problems.p1_found,
         "p2_found": problems.p2_found,
         "p3_found": announcements.p3_found,
@@ -20,7 +20,9 @@ def queries() -> dict[str, Query]:
         "p4_found": problems.p4_found,
         "p4_periods": problems.p4_periods,
     }
+    return named | archive.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """p1 to p3 have none: their calendars, sounds and messages are no matter of SQL; they are tested by brute force."""
+    return {"p4_found": problems.P4_SQL, "p4_periods": f"SELECT tab, period, reason, count(*) AS n_refs FROM ({problems.P4_SQL}) GROUP BY 1, 2, 3"} | archive.SQL
