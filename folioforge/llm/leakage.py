@@ -213,7 +213,7 @@ def leaked_items(documents: DataFrame, doc_id: str, text: str, items: DataFrame,
                 terms.append([t for t, _ in found])
                 at.append([k for _, k in found])
                 kept.append(norm)
-            yield pd.DataFrame({"id": ids, "terms": terms, "places": at, "norm": kept})
+            yield pd.DataFrame({"id": pd.Series(ids, dtype="int64"), **{c: pd.Series(v, dtype=object) for c, v in (("terms", terms), ("places", at), ("norm", kept))}})
 
     source = documents.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter("id is not null and text is not null")
     postings = stored(source.mapInPandas(index, "id bigint, terms array<int>, places array<int>, norm string"))
