@@ -14,6 +14,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioforge.session import checkpoint
+
 
 def last_wins(rows: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
     """value of the last row by order of each key; a null value may win."""
@@ -25,6 +27,21 @@ def first_wins(rows: DataFrame, keys: list[str], order: list[str], value: str) -
     return rows.groupBy(*keys).agg(F.min(F.struct(*order, value)).getField(value).alias(value))
 
 
+def with_position(rows: DataFrame, order: list[Column], out: str) -> DataFrame:
+    """rows with their position from 1 in a total order, by a distributed sort.
+
+    Sorted partitions are numbered within themselves and moved by the sizes of
+    those before; what is gathered is a row per partition. The sorted rows are a
+    checkpoint, so both passes see the same partitions.
+    """
+    placed = checkpoint(rows.orderBy(*order).withColumn("__id", F.monotonically_increasing_id()))
+    part, within = F.shiftright("__id", 33), F.col("__id").bitwiseAND((1 << 33) - 1)
+    sizes = placed.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    moved = F.broadcast(sizes.select("__part", before.alias("__before")))
+    return placed.withColumn("__part", part).join(moved, "__part").withColumn(out, F.col("__before") + within + 1).drop("__id", "__part", "__before")
+
+
 def merge_lists(lists: list[DataFrame], key: str, date: str, order: str) -> DataFrame:
     """Union of lists by key, newest first and undated last.
 
@@ -37,9 +54,7 @@ def merge_lists(lists: list[DataFrame], key: str, date: str, order: str) -> Data
         tagged = part if tagged is None else tagged.unionByName(part)
     place = F.struct("__list", "__ord")
     merged = tagged.groupBy(key).agg(F.max(F.struct("__list", -F.col("__ord"), date)).getField(date).alias(date), F.min(place).alias("__place"))
-    by = W.orderBy((F.col(date) != "").desc(), F.col(date).desc(), "__place", key)
-    # a total order over the list is the feature; the list is the site's table of contents
-    return merged.select(key, date, F.row_number().over(by).alias("position"))
+    return with_position(merged, [(F.col(date) != "").desc(), F.col(date).desc(), F.col("__place"), F.col(key)], "position").select(key, date, "position")
 
 
 def carry_forward(current: DataFrame, earlier: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -156,6 +171,9 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
 def best_title(left: DataFrame, right: DataFrame, keys: list[str], left_id: str, left_title: str, right_id: str, right_title: str, least: float) -> DataFrame:
     """The right row of the most similar title among those of equal keys, if it reaches `least`; of equals the least id."""
     pairs = left.select(*keys, left_id, F.col(left_title).alias("__a")).join(right.select(*keys, right_id, F.col(right_title).alias("__b")), keys)
+    # the ratio can't exceed what the lengths allow, which is known without comparing
+    most = 2 * F.least(F.length("__a"), F.length("__b")) / (F.length("__a") + F.length("__b"))
+    pairs = pairs.filter(most >= least)
     scored = pairs.select(left_id, right_id, similarity("__a", "__b").alias("ratio")).filter(F.col("ratio") >= least)
     return scored.groupBy(left_id).agg(F.max_by(F.struct(right_id, "ratio"), F.struct("ratio", -F.col(right_id))).alias("__m")).select(left_id, f"__m.{right_id}", "__m.ratio")
 
@@ -194,7 +212,12 @@ def reachable(edges: DataFrame, source: str, target: str, start: DataFrame, node
 def sample(rows: DataFrame, key: str, n: int, seed: int = 0, tenth: bool = True) -> DataFrame:
     """n rows by a hash of key and seed; with `tenth`, a tenth of all at most and one at least."""
     order = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"/{seed}")))
-    if not tenth:
-        return rows.orderBy(order, key).limit(n)
-    numbered = rows.withColumns({"__n": F.row_number().over(W.orderBy(order, key)), "__cap": F.greatest(F.lit(1), F.floor(F.count("*").over(W.partitionBy()) / 10))})
-    return numbered.filter((F.col("__n") <= n) & (F.col("__n") <= F.col("__cap"))).drop("__n", "__cap")
+    return rows.orderBy(order, key).limit(min(n, max(1, rows.count() // 10)) if tenth else n)
+
+
+def paged(rows: DataFrame, group: str, order: list[Column], per_page: int) -> DataFrame:
+    """rows with their place in their group and the page it falls on, both from 1; a group of any size is sorted by many tasks."""
+    numbered = with_position(rows, [F.col(group), *order], "__pos")
+    first = numbered.groupBy(group).agg(F.min("__pos").alias("__first"))
+    place = F.col("__pos") - F.col("__first") + 1
+    return numbered.join(first, group).withColumns({"place": place, "page_no": F.floor((place - 1) / per_page) + 1}).drop("__pos", "__first")

@@ -21,6 +21,7 @@ from folioforge.functions.dom import BLOCK, RAW, VOID, Node, ancestors, classes,
 from folioforge.functions.names import url_join
 from folioforge.functions.url import clean_url
 from folioforge.operators.documents import HEADINGS, content_of
+from folioforge.operators.relations import paged
 
 _CSS_URL = re.compile(r"(url\(\s*['\"]?)([^'\")]+)(['\"]?\s*\))")
 _INLINE = frozenset("strong b em i u s code".split())
@@ -343,15 +344,15 @@ def post_card(title, link, image, date, category):  # noqa: ANN001, ANN201  colu
     return F.concat(F.lit('<article class="post-card"><a href="'), safe(link), F.lit('">'), picture, F.lit("<h2>"), safe(title), F.lit("</h2></a><time>"), safe(date), F.lit("</time><span>"), safe(category), F.lit("</span></article>"))
 
 
-def listing(posts: DataFrame, template: str) -> DataFrame:
-    """category, page: a page per category, and '' for all, its posts newest first in place of {posts}, their number for {count}.
+def listing(posts: DataFrame, template: str, per_page: int = 500) -> DataFrame:
+    """category, page_no, page: pages of a category, and '' for all, with `per_page` posts, newest first, in place of {posts}, the category's number of posts for {count}.
 
-    posts: title, link, image, date, category. A listing is one page, so its
-    posts are one row by nature; their cards are short.
+    posts: title, link, image, date, category.
     """
     cards = posts.select("category", "date", "link", post_card(F.col("title"), F.col("link"), F.col("image"), F.col("date"), F.col("category")).alias("card"))
     both = cards.filter("category <> ''").unionByName(cards.withColumn("category", F.lit("")))
-    newest = F.array_sort(F.collect_list(F.struct("date", "link", "card")), lambda a, b: F.when(a.date > b.date, -1).when(a.date < b.date, 1).when(a.link < b.link, -1).otherwise(1))
-    grouped = both.groupBy("category").agg(newest.alias("c"), F.count("*").cast("string").alias("n"))
+    placed = paged(both, "category", [F.desc("date"), F.col("link")], per_page)
+    size = placed.groupBy("category").agg(F.count("*").cast("string").alias("n"))
+    grouped = placed.groupBy("category", "page_no").agg(F.array_sort(F.collect_list(F.struct("place", "card"))).alias("c")).join(size, "category")
     page = F.replace(F.replace(F.lit(template), F.lit("{posts}"), F.array_join(F.transform("c", lambda x: x.card), "\n")), F.lit("{count}"), F.col("n"))
-    return grouped.select("category", page.alias("page"))
+    return grouped.select("category", "page_no", page.alias("page"))

@@ -418,15 +418,17 @@ def two_hop_reach(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    f"SELECT split_part(regexp_extract(url, '//[^/]+/([^/?#]+)/$', 1), '-', 1) AS category, string_agg(row_id::VARCHAR, ',' ORDER BY coalesce(published_time, '') DESC, row_id) AS posts "
-    f"FROM all_posts WHERE snap_no = {LATEST} AND regexp_matches(url, '^https://blog-en\\.[^/]+/[^/?#]+/$') GROUP BY 1"
+    "WITH p AS (SELECT split_part(regexp_extract(url, '//[^/]+/([^/?#]+)/$', 1), '-', 1) AS category, coalesce(published_time, '') AS p, row_id "
+    f"FROM all_posts WHERE snap_no = {LATEST} AND regexp_matches(url, '^https://blog-en\\.[^/]+/[^/?#]+/$')), r AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY p DESC, row_id) AS place FROM p) "
+    "SELECT category, (place - 1) // 20 + 1 AS page_no, string_agg(row_id::VARCHAR, ',' ORDER BY place) AS posts FROM r GROUP BY 1, 2"
 )
 def category_listing(spark: SparkSession, folder: str) -> DataFrame:
-    """Posts of a listing page by category, newest first; a listing is one page, so its posts are one row."""
+    """Posts of the pages of a listing by category, newest first, 20 a page."""
     rows = _latest(spark, folder).filter(F.col("url").rlike(r"^https://blog-en\.[^/]+/[^/?#]+/$"))
     rows = rows.select(F.substring_index(F.regexp_extract("url", r"//[^/]+/([^/?#]+)/$", 1), "-", 1).alias("category"), F.coalesce("published_time", F.lit("")).alias("p"), "row_id")
-    by_time: Column = F.array_sort(F.collect_list(F.struct("p", "row_id")), lambda a, b: F.when(a.p > b.p, -1).when(a.p < b.p, 1).when(a.row_id < b.row_id, -1).otherwise(1))
-    return rows.groupBy("category").agg(F.array_join(F.transform(by_time, lambda x: x.row_id.cast("string")), ",").alias("posts"))
+    placed = rel.paged(rows, "category", [F.desc("p"), F.col("row_id")], 20)
+    ids: Column = F.transform(F.array_sort(F.collect_list(F.struct("place", "row_id"))), lambda x: x.row_id.cast("string"))
+    return placed.groupBy("category", "page_no").agg(F.array_join(ids, ",").alias("posts"))
 
 
 @query("SELECT c_custkey, '\"' || replace(c_name || ', \"' || c_mktsegment || '\"', '\"', '\"\"') || '\",' || c_custkey::VARCHAR AS line FROM customer")
