@@ -50,24 +50,33 @@ WORDS = Unit("words", 20, 4, 11)
 CHARACTERS = Unit("characters", 60, 6, 40)
 
 _KANA = re.compile(r"[ぁ-ゖァ-ヺ]")
-_MARKUP = re.compile(r"</?[a-zA-Z][^<>]{0,300}>|\]\([^()\s]{0,500}\)|[​-‏­﻿⁠]")
+_TAG = re.compile(r"</?[a-zA-Z][^<>]{0,300}>")
+_LINK = re.compile(r"\]\([^()\s]{0,500}\)")
+_UNSEEN = re.compile("[\u200b-\u200f\u00ad\ufeff\u2060]")
 _BREAK = re.compile(r"<(?:br|p|div|li|/p|/div|/li)\b[^<>]{0,300}>", re.I)
-_APOSTROPHE = re.compile(r"(?<=\w)['’ʼ`´](?=\w)")
+# Apostrophes; they join the parts of a word.
+_APOSTROPHES = "'’ʼ`´"
 _WORD = re.compile(r"[^\W_]+")
 
 
 def plain(text: str) -> str:
     """Without markup, case and character forms."""
     if "<" in text:
-        text = _BREAK.sub(" ", text)
-    text = _MARKUP.sub("", text)
+        text = _TAG.sub("", _BREAK.sub(" ", text))
+    if "](" in text:
+        text = _LINK.sub("", text)
     if "&" in text:
         text = html.unescape(text)
-    return ud.normalize("NFKC", text).casefold()
+    if text.isascii():
+        return text.lower()
+    return ud.normalize("NFKC", _UNSEEN.sub("", text)).casefold()
 
 
 def words(text: str) -> list[str]:
-    return _WORD.findall(_APOSTROPHE.sub("", text))
+    for mark in _APOSTROPHES:
+        if mark in text:
+            text = text.replace(mark, "")
+    return _WORD.findall(text)
 
 
 def characters(text: str) -> str:

@@ -25,7 +25,7 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$
 #: targets are a small dimension; more rows than this are refused
 MAX_SOURCES = 10_000
 #: drawn numbers are counted in so many bins per source for the calibration
-BINS = 4096
+BINS = 1024
 
 
 def count_tokens(vocabulary: str):
