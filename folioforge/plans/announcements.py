@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.functions.phonetic import ngrams, script, skeleton, sounds
+from folioforge.functions.phonetic import contains_near, ngrams, script, skeleton, sounds
 from folioforge.functions.text import once
 from folioforge.operators.entity_match import best_match, match_marginals
 from folioforge.plans.problems import channel_instants, post_instants, post_key
@@ -89,7 +89,8 @@ def _script_of_lang(lang: str) -> str:
 
 
 def plain_title(title: str) -> str:
-    """title without marks and labels in brackets at its start."""
+    """title without marks and labels at its start: in brackets, or a word in capitals before a colon or exclamation mark."""
+    title = re.sub(r"^\W*[A-ZÀ-Þ]{2,9}\s?[:!]\s+", "", title)
     return re.sub(r"^(?:[^\w\[【(「“„]*(?:\[[^\]]*\]|【[^】]*】|\([^)]*\)))?[^\w「“„]*", "", title) or title
 
 
@@ -126,29 +127,29 @@ def pair_weight(title: str, name: str, slug: str, lang: str, post_title: str | N
     w = -3.0
     # time: most announcements follow within hours; a post without published time has only a bound
     if exact:
-        w += 2.0 if -1 <= hours <= 14 else 1.0 if -4 <= hours <= 74 else 0.0 if -30 <= hours < -4 else -4.0
+        w += 2.0 if -1 <= hours <= 14 else 1.0 if -30 <= hours <= 74 else -4.0
     else:
         w += 0.5
     heard, own = sounds(title), sounds(name)
-    bones, own_bones = skeleton(title), skeleton(name)
     plain = plain_title(title)
     told, other = ngrams(plain), ngrams(post_title) if post_title is not None else frozenset()
     if len(own) > 2 and own in heard:
-        w += 4.0 if len(own) > 3 else 3.0
-    elif len(own_bones) > 1 and own_bones in bones:
-        w += min(3.0, 0.75 * len(own_bones) - 0.5)
-    elif len(own_bones) > 3 and any(own_bones[:i] + own_bones[i + 1 :] in bones for i in range(len(own_bones))):
-        w += 0.5
-    elif len(told - other) > 0.2 * max(1, len(told)):
+        w += 4.0 if len(own) > 3 else 3.5
+    elif len(own) > 4 and contains_near(heard, own, 1):
+        w += 2.5
+    elif len(own) > 8 and contains_near(heard, own, 2):
+        w += 1.5
+    elif post_title is not None and len(told - other) <= (2 if script(plain) == "la" else 1):
+        # nothing but what the post's title says: the name was left out or cut off
+        w -= 0.5
+    else:
         # the title speaks of something else
         w -= 5.0 if post_title is not None else 3.5
-    else:
-        w -= 0.5
     # wording: language and kind
     if likely:
         kind = f"{lang}|{kind_of(slug)}"
         mine = likely[kind] if kind in likely else max((v for k, v in likely.items() if k.startswith(f"{lang}|")), default=-40.0)
-        w += max(-2.5, 1.0 + 0.2 * mine)
+        w += max(-1.5, 1.0 + 0.2 * mine)
     if post_title is not None:
         s = len(told & other) / max(1, min(len(told), len(other)))
         w += max(-3.0, min(3.0, 8 * (s - 0.4)))
