@@ -42,16 +42,14 @@ def with_position(rows: DataFrame, order: list[Column], out: str) -> DataFrame:
     return placed.withColumn("__part", part).join(moved, "__part").withColumn(out, F.col("__before") + within + 1).drop("__id", "__part", "__before")
 
 
-def merge_lists(lists: list[DataFrame], key: str, date: str, order: str) -> DataFrame:
+def merge_lists(rows: DataFrame, which: str, key: str, date: str, order: str) -> DataFrame:
     """Union of lists by key, newest first and undated last.
 
-    A key's date comes from the last list that has it, its place among equal
-    dates from the first. Returns key, date, position from 1.
+    rows: all lists, told apart and ranked by the column `which`. A key's date
+    comes from the last list that has it, its place among equal dates from the
+    first. Returns key, date, position from 1.
     """
-    tagged = None
-    for n, rows in enumerate(lists):
-        part = rows.select(F.col(key), F.coalesce(F.col(date), F.lit("")).alias(date), F.lit(n).alias("__list"), F.col(order).alias("__ord"))
-        tagged = part if tagged is None else tagged.unionByName(part)
+    tagged = rows.select(F.col(key), F.coalesce(F.col(date), F.lit("")).alias(date), F.col(which).alias("__list"), F.col(order).alias("__ord"))
     place = F.struct("__list", "__ord")
     merged = tagged.groupBy(key).agg(F.max(F.struct("__list", -F.col("__ord"), date)).getField(date).alias(date), F.min(place).alias("__place"))
     return with_position(merged, [(F.col(date) != "").desc(), F.col(date).desc(), F.col("__place"), F.col(key)], "position").select(key, date, "position")

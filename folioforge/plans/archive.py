@@ -168,13 +168,12 @@ def seen_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    "WITH s AS (SELECT 0 AS l, row_id, url, coalesce(lastmod, '') AS lastmod FROM all_posts WHERE snap_no = 1 UNION ALL SELECT 1, row_id, url, coalesce(lastmod, '') FROM all_posts WHERE snap_no = 2), "
-    "m AS (SELECT url, max_by(lastmod, l * 1000000000 - row_id) AS lastmod, min(l * 1000000000 + row_id) AS place FROM s GROUP BY url) "
+    "WITH m AS (SELECT url, max_by(coalesce(lastmod, ''), snap_no * 1000000000::BIGINT - row_id) AS lastmod, min(snap_no * 1000000000::BIGINT + row_id) AS place FROM all_posts GROUP BY url) "
     "SELECT url, lastmod, row_number() OVER (ORDER BY lastmod <> '' DESC, lastmod DESC, place, url) AS position FROM m"
 )
 def links_merge(spark: SparkSession, folder: str) -> DataFrame:
-    posts = table(spark, folder, "all_posts")
-    return rel.merge_lists([posts.filter("snap_no = 1"), posts.filter("snap_no = 2")], "url", "lastmod", "row_id")
+    """One list of all that any snapshot lists."""
+    return rel.merge_lists(table(spark, folder, "all_posts"), "snap_no", "url", "lastmod", "row_id")
 
 
 @query(
@@ -209,12 +208,12 @@ def pending_scope(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _failures(spark: SparkSession, folder: str) -> DataFrame:
-    """Entries of the image map without a path as failures of their month."""
+    """Entries of the image map without a path as failures of their month; one of an animation stands for all of the month."""
     rows = table(spark, folder, "image_map").filter("relative_path is null")
-    return rows.select(F.date_format("logged_at", "yyyy-MM").alias("post"), F.when(F.col("map_id") % 50 == 0, "").otherwise(F.col("url")).alias("item")).distinct()
+    return rows.select(F.date_format("logged_at", "yyyy-MM").alias("post"), F.when(F.col("url").rlike(r"(?i)\.gif"), "").otherwise(F.col("url")).alias("item")).distinct()
 
 
-_FAILURES = "(SELECT DISTINCT strftime(logged_at, '%Y-%m') AS post, CASE WHEN map_id % 50 = 0 THEN '' ELSE url END AS item FROM image_map WHERE relative_path IS NULL)"
+_FAILURES = "(SELECT DISTINCT strftime(logged_at, '%Y-%m') AS post, CASE WHEN regexp_matches(url, '(?i)\.gif') THEN '' ELSE url END AS item FROM image_map WHERE relative_path IS NULL)"
 
 
 @query(f"SELECT post, CASE WHEN bool_or(item = '') THEN NULL ELSE array_to_string(list_sort(list(DISTINCT item)), '|') END AS items FROM {_FAILURES} GROUP BY post")

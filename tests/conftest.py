@@ -11,3 +11,6 @@ def spark():
     from folioforge.session import local_session
 
     return local_session(cpus=4, memory="3g", shuffle_partitions=4)
+
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))

@@ -10,9 +10,9 @@ def rows(df, *cols):
 
 
 def test_merge_keeps_the_first_place_and_the_last_date(spark):
-    pages = spark.createDataFrame([("a", "2024-01-01", 0), ("b", "", 1), ("c", "2024-01-02", 2)], "url string, d string, o int")
-    posts = spark.createDataFrame([("d", "2024-01-02", 0), ("a", "2024-01-02", 1), ("e", None, 2)], "url string, d string, o int")
-    got = [r.url for r in rel.merge_lists([pages, posts], "url", "d", "o").orderBy("position").collect()]
+    rows = [(0, "a", "2024-01-01", 0), (0, "b", "", 1), (0, "c", "2024-01-02", 2), (1, "d", "2024-01-02", 0), (1, "a", "2024-01-02", 1), (1, "e", None, 2)]
+    lists = spark.createDataFrame(rows, "l int, url string, d string, o int")
+    got = [r.url for r in rel.merge_lists(lists, "l", "url", "d", "o").orderBy("position").collect()]
     assert got == ["a", "c", "d", "b", "e"]
 
 
