@@ -31,6 +31,8 @@ BEFORE, AFTER = 36, 84
 MODEL_TITLES, MODEL_FEATURES = 5_000, 1 << 13
 #: sound keys shorter than this say too little
 LEAST_KEY, LONGEST_KEY = 2, 12
+#: pairs whose own evidence is below these log-odds are rejected by it; messages of others only lower them further
+LEAST_WEIGHT = -6.0
 #: titles that share fewer of the channel title's letters are candidates by the name only
 SHARE = 0.65
 
@@ -226,7 +228,8 @@ def announcement_pairs(spark: SparkSession, folder: str) -> DataFrame:
                     seen[title] = dict(zip(labels, (scores - scores.max()).tolist())) if labels else {}
                 known = html.unescape(post_title) if isinstance(post_title, str) else None
                 out.append(pair_weight(title, name, slug_, lang_, known, (ms - at) / HOUR, bool(exact), seen[title]))
-            yield pd.DataFrame({"id": b["id"], "post": b["lang"] + "/" + b["slug"], "weight": out})
+            pairs = pd.DataFrame({"id": b["id"], "post": b["lang"] + "/" + b["slug"], "weight": np.array(out, dtype="float64")})
+            yield pairs[pairs["weight"] >= LEAST_WEIGHT]
 
     return near.mapInPandas(weigh, "id bigint, post string, weight double")
 
