@@ -13,7 +13,8 @@ from folioforge.functions import names
 from folioforge.functions.url import clean_url, host_of, language_variant, link_key, moved, original_of_snapshot, snapshot_image_url
 from folioforge.operators import documents as docs
 from folioforge.operators import relations as rel
-from folioforge.sources.tables import table
+from folioforge.operators import render
+from folioforge.sources.tables import Blogs, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -400,6 +401,66 @@ def image_positions(spark: SparkSession, folder: str) -> DataFrame:
     return images.select("doc", F.row_number().over(W.partitionBy("doc").orderBy("ord")).cast("bigint").alias("pos"), "src")
 
 
+def _site(spark: SparkSession, folder: str) -> Config:
+    """Settings with the hosts of the blogs table, a fixed dimension."""
+    hosts = tuple(sorted(Blogs.read(table(spark, folder, "blogs")).lang))
+    return Config(blog_host=hosts[0] if hosts else "", image_hosts=hosts)
+
+
+def _pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The last saved page of each address."""
+    pages = table(spark, folder, "html").filter("post_url is not null")
+    last = pages.groupBy("post_url").agg(F.max(F.struct("fetched_at", "page_id", "html")).alias("p")).select(F.trim("post_url").alias("post_url"), "p.page_id", "p.html")
+    return last.groupBy("post_url").agg(F.max_by("html", "page_id").alias("html"))
+
+
+@query(None)
+def page_images(spark: SparkSession, folder: str) -> DataFrame:
+    """Images that each page offers, in order; addresses are resolved, which has no form in SQL."""
+    return docs.image_items(docs.node_table(_pages(spark, folder), "post_url", "html"), _site(spark, folder))
+
+
+@query(None)
+def page_sections(spark: SparkSession, folder: str) -> DataFrame:
+    """Headings of each page in order."""
+    return docs.heading_texts(docs.node_table(_pages(spark, folder), "post_url", "html"))
+
+
+def _described(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _pages(spark, folder)
+    meta = docs.page_meta(docs.node_table(pages, "post_url", "html"), Config().categories).withColumnRenamed("doc", "post_url")
+    kind = F.substring_index(names.url_slug(F.col("post_url")), "-", 1)
+    day = table(spark, folder, "all_posts").groupBy(F.trim("url").alias("post_url")).agg(F.max(F.substring("published_time", 1, 10)).alias("date"))
+    return pages.join(meta.drop("category"), "post_url", "left").join(day, "post_url", "left").withColumns({"category": kind, "title": F.coalesce("title", F.lit(""))})
+
+
+def _images_by_url(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "image_map").filter("relative_path is not null").select("map_id", clean_url(F.col("url")).alias("clean_url"), "relative_path")
+    return rel.last_wins(rows, ["clean_url"], ["map_id"], "relative_path")
+
+
+@query(None)
+def markdown_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page in Markdown, with local images."""
+    return render.markdown(_described(spark, folder), "post_url", "html", "title", "date", "category", _images_by_url(spark, folder))
+
+
+@query(None)
+def localised_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page for offline reading, with the images that have no local path."""
+    pages = _described(spark, folder)
+    targets = pages.select(F.col("post_url").alias("page_url"), F.concat("category", F.lit("/"), names.url_slug(F.col("post_url")), F.lit(".html")).alias("path"))
+    none = spark.createDataFrame([], "post_url string, media_url string, relative_path string, anchor_type string, anchor_text string")
+    return render.localised(pages, "post_url", "html", "category", _images_by_url(spark, folder), none, targets, none, _site(spark, folder))
+
+
+@query(None)
+def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Listing pages of all posts and of each category."""
+    posts = _described(spark, folder).select("title", names.url_slug(F.col("post_url")).alias("link"), F.col("og_image").alias("image"), F.coalesce("date", F.lit("")).alias("date"), "category")
+    return render.listing(posts, "<html><body><p>{count}</p>\n{posts}\n</body></html>")
+
+
 def _edges(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "html").select(F.regexp_extract("post_url", r"//[^/]+/+([^/?#]+)", 1).alias("src"), F.explode(F.regexp_extract_all("html", F.lit('<a href="/([^"/]+)/"'), F.lit(1))).alias("dst"))
     return pages.filter("src <> ''")
