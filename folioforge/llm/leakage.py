@@ -12,7 +12,6 @@ from __future__ import annotations
 import html
 import re
 import unicodedata as ud
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,6 +42,11 @@ class Unit:
         """Terms looked up that stay whole in any passage: each change breaks at most `term` of them."""
         return self.looked_up - self.term * (self.least // ONE_IN)
 
+    @property
+    def whole(self) -> int:
+        """Terms of any kind that stay whole in any passage."""
+        return self.least - self.term + 1 - self.term * (self.least // ONE_IN)
+
 
 #: 20 words have 17 terms of 4; two changes break at most 8 of the 11 that are looked up
 WORDS = Unit("words", 20, 4, 11)
@@ -176,6 +180,21 @@ def _hits(text: str, items: Items, numbers: dict[str, dict]) -> list[tuple[int,
     return found
 
 
+def _near_a_diagonal(found: list[tuple[int, int]], places: list[list[tuple[int, int]]], units: list[Unit]) -> bool:
+    """Whether as many places of an item fall into one band of diagonals as a passage has whole terms."""
+    if len({t for t, _ in found}) < min(WORDS.whole, CHARACTERS.whole):
+        return False
+    bands: dict[tuple[int, int], set[int]] = {}
+    for t, k in found:
+        for item, p in places[t]:
+            for b in ((k - p) // 16 * 2, (k - p + 8) // 16 * 2 + 1):
+                own = bands.setdefault((item, b), set())
+                own.add(p)
+                if len(own) >= units[item].whole:
+                    return True
+    return False
+
+
 def leaked_items(documents: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str) -> DataFrame:
     """Documents that contain a passage of a test item, each with the item.
 
@@ -203,7 +222,7 @@ def leaked_items(documents: DataFrame, doc_id: str, text: str, items: DataFrame,
     sure = min(WORDS.surely, CHARACTERS.surely)
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Places of test terms; the text goes along where enough of them fall near one diagonal of an item."""
+        """Places of test terms; the text goes along where as many fall near one diagonal of an item as any passage has."""
         for b in batches:
             ids, terms, at, kept = [], [], [], []
             for i, raw in zip(b["id"], b["text"]):
@@ -213,15 +232,10 @@ def leaked_items(documents: DataFrame, doc_id: str, text: str, items: DataFrame,
                 found = _hits(norm, query, numbers)
                 if len(found) < sure:
                     continue
-                bands = Counter()
-                for t, k in found:
-                    bands.update({(item, (k - p + h) // 16) for item, p in places[t] for h in (0, 8)})
-                if max(bands.values()) < sure:
-                    continue
                 ids.append(i)
                 terms.append([t for t, _ in found])
                 at.append([k for _, k in found])
-                kept.append(norm)
+                kept.append(norm if _near_a_diagonal(found, places, query.units) else None)
             yield pd.DataFrame({"id": pd.Series(ids, dtype="int64"), **{c: pd.Series(v, dtype=object) for c, v in (("terms", terms), ("places", at), ("norm", kept))}})
 
     source = documents.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter("id is not null and text is not null")
@@ -262,5 +276,5 @@ def leaked_items(documents: DataFrame, doc_id: str, text: str, items: DataFrame,
                     lengths.append(n)
             yield pd.DataFrame({"id": ids, "item": found, "n": lengths})
 
-    aligned = near.join(postings.select("id", "norm"), "id").mapInPandas(align, "id bigint, item bigint, n int")
+    aligned = near.join(postings.filter("norm is not null").select("id", "norm"), "id").mapInPandas(align, "id bigint, item bigint, n int")
     return aligned.groupBy("id", "item").agg(F.max("n").alias("n")).select(F.col("id").alias(doc_id), F.col("item").alias(item_id), F.col("n").alias("n_tokens"))
