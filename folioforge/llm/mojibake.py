@@ -22,16 +22,17 @@ from pyspark.sql import functions as F
 #: layers of wrong decoding that are taken off at most
 MAX_LAYERS = 4
 # Single-byte encodings that UTF-8 is wrongly decoded with.
-SINGLE_BYTE = ["cp1252", "mac_roman", "cp437", "cp850"]
+SINGLE_BYTE = ["cp1252", "mac_roman", "cp437", "cp850", "cp1251"]
 # Multi-byte encodings that are wrongly decoded as a Western one, with the characters that their text is made of.
 MULTI_BYTE = {"cp949": "가-힣", "cp932": "ぁ-ゖァ-ヺー", "euc_jp": "ぁ-ゖァ-ヺー", "gbk": "的一是了不在人有我他这中大来上个国到说们为子和你地出道也时年得就那要下以生会自着去之过家学对可她里后"}
 # Multi-byte encodings that UTF-8 is wrongly decoded with.
 WIDE = ["cp949", "cp932", "gbk"]
-#: what may be garbled: lost characters, C1 controls, symbols and accented letters side by side, Hanja among Hangul, kanji typical of UTF-8 read as Shift JIS
+#: what may be garbled: lost characters, C1 controls, symbols and accented letters side by side, Cyrillic letters before symbols or letters rare in Russian, Hanja among Hangul, kanji typical of UTF-8 read as Shift JIS
 SUSPECT = (
     r"[\x{80}-\x{9f}\x{fffd}]"
     r"|[\x{a0}-\x{ff}\x{152}-\x{178}\x{192}\x{2c6}-\x{2dd}\x{3a9}\x{3c0}\x{2020}-\x{2022}\x{2030}-\x{203a}\x{20ac}\x{2122}\x{2202}-\x{22ff}\x{25ca}\x{2500}-\x{25ff}\x{fb01}\x{fb02}\x{100}-\x{151}]"
     r"[\x{a0}-\x{ff}\x{152}-\x{178}\x{192}\x{2c6}-\x{2dd}\x{3a9}\x{3c0}\x{2013}-\x{203a}\x{20ac}\x{2122}\x{2202}-\x{22ff}\x{25ca}\x{2500}-\x{25ff}\x{fb01}\x{fb02}\x{100}-\x{151}]"
+    r"|[\x{412}-\x{44f}][\x{a0}-\x{bf}\x{401}-\x{40f}\x{451}-\x{45f}\x{490}\x{491}\x{2013}-\x{203a}\x{20ac}\x{2116}\x{2122}]"
     r"|[\x{192}\x{201a}][\x{20}-\x{7e}\x{a0}-\x{ff}\x{152}-\x{178}\x{192}\x{2010}-\x{203a}]"
     r"|[\x{ac00}-\x{d7a3}][\x{4e00}-\x{9fff}\x{f900}-\x{faff}]|[\x{4e00}-\x{9fff}\x{f900}-\x{faff}][\x{ac00}-\x{d7a3}]|[縺繧繝].?[縺繧繝]|[銆鈥锛鐨]{2}"
 )
@@ -103,6 +104,8 @@ def _undo_utf8(text: str, encoding: str) -> tuple[str, int]:
         nonlocal taken
         raw = _encode(m.group(), encoding)
         out = raw.decode("utf-8", "replace")
+        if encoding == "cp1251" and re.search("[А-яёЁ]", text[max(0, m.start() - 1) : m.start()] + text[m.end() : m.end() + 1]):
+            return m.group()  # part of a Cyrillic word
         if not all(_plausible(c) or "Ͱ" <= c <= "ӿ" and len(out) > 1 or "\x80" <= c <= "\x9f" for c in out):
             return m.group()
         # a lone pair is evidence for the commonest letters only; in other encodings it may be a drawing or quoted letter
@@ -157,6 +160,10 @@ def _cost(text: str) -> float:
     return total / n if n else 0.0
 
 
+#: two or more symbols of Korean text in a row, in the rows of punctuation, marks and lines of its encoding
+_KOREAN_SYMBOLS = re.compile("(?:[¡¢¦][¡-þ]){2,}")
+
+
 @lru_cache(maxsize=None)
 def _western_runs() -> re.Pattern:
     return re.compile(_class("cp1252", 0, 255) + "+")
@@ -184,6 +191,10 @@ def _undo_multi(line: str) -> tuple[str, str] | None:
         text = _western_runs().sub(decode, line)
         if done and (best is None or _cost(text) < best[0]):
             best = (_cost(text), text, encoding)
+    if best is None and _KOREAN_SYMBOLS.search(line):
+        text = _KOREAN_SYMBOLS.sub(lambda m: m.group().encode("latin-1").decode("cp949", "replace"), line)
+        if "\ufffd" not in text:
+            return text, "cp949"
     return best and best[1:]
 
 
@@ -232,7 +243,7 @@ def _best(line: str, layers: int) -> tuple[float, str, list[str]]:
     if layers and not line.isascii():
         for fixed, name in _options(line):
             cost, text, undone = _best(fixed, layers - 1)
-            if cost < best[0]:
+            if cost < best[0] or (name == "cp949 as cp1252" and not best[2]):
                 best = (cost, text, [name, *undone])
     return best
 
@@ -246,8 +257,9 @@ def repair(text: str) -> tuple[str, list[str], bool]:
             _, lines[n], names = _best(line, MAX_LAYERS)
             undone += [x for x in names if names.count(x) > undone.count(x)]
     fixed = "\n".join(lines)
-    if "�" in fixed and not undone:
-        undone.append("lost characters")
+    if not undone and re.search("[�\x80-\x84\x86-\x9f]", fixed):
+        # garbled for sure, but by no decoding that is known here
+        return fixed, ["lost characters"], False
     return fixed, undone, "�" not in fixed
 
 

@@ -20,11 +20,14 @@ ROUND = [
     (KO, lambda t: sloppy(sloppy(t.encode()).encode())),
     (KO, lambda t: t.encode().decode("mac_roman")),
     (EN, lambda t: t.encode().decode("cp437")),
+    (EN, lambda t: "".join(bytes([b]).decode("cp1251", "ignore") or chr(b) for b in t.encode())),
+    (FR, lambda t: t.encode().decode("cp1251")),
     (KO, lambda t: sloppy(t.encode("cp949"))),
+    ("★★★☆ ┌──┐", lambda t: sloppy(t.encode("cp949"))),
     (JA, lambda t: sloppy(t.encode("cp932"))),
     (JA, lambda t: t.encode("euc_jp").decode("latin-1")),
 ]
-CLEAN = ["", "plain", KO, JA, EN, FR, DE, "@señor91 «¡!»", "— Вера_90 😀", "├─ 1 ─┤ ╔══╗", "縺れた糸", "ﾅﾆ!? €€€ ★★★☆ (╯°□°)╯", "Âme Ç57elik ÃO66 Øresund", "1×2÷3 °C ± ½ √ OK", "ｌｅｇｉｏｎ", "Ångström ÄÖÜß22 naïve", "@濡沫11 왕실의 허락을", "É»"]
+CLEAN = ["", "plain", KO, JA, EN, FR, DE, "@señor91 «¡!»", "— Вера_90 😀", "├─ 1 ─┤ ╔══╗", "縺れた糸", "ﾅﾆ!? €€€ ★★★☆ (╯°□°)╯", "Âme Ç57elik ÃO66 Øresund", "1×2÷3 °C ± ½ √ OK", "ｌｅｇｉｏｎ", "Ångström ÄÖÜß22 naïve", "@濡沫11 왕실의 허락을", "Гёте живёт «в Риге» – № 5", "É»"]
 
 
 @pytest.mark.parametrize("n", range(len(ROUND)))
@@ -50,6 +53,7 @@ def test_a_garbled_stretch_among_clean_text():
 def test_lost_characters():
     fixed, undone, whole = repair("f�r das Reich")
     assert undone == ["lost characters"] and not whole and fixed == "f�r das Reich"
+    assert repair("it\x81fs")[1:] == (["lost characters"], False)
     assert repair(JA.encode().decode("cp932", "replace"))[1]
 
 
