@@ -37,7 +37,9 @@ LEAST_WEIGHT = -6.0
 SHARE = 0.65
 
 _DATE = r"(?:\d{4}\s?[-./년年]\s?\d{1,2}\s?[-./월月]\s?\d{1,2}|\d{1,2}[./-]\d{1,2}[./-]\d{4}|\d{1,2}\.?(?:er)? \p{L}{3,9}\.? \d{4}|\p{L}{3,9}\.? \d{1,2}, \d{4})"
+_SHOWN_MARKUP = rf"(?s)</h1>\s*(?:<[^>]*>\s*)*({_DATE}[^<\n]{{0,25}})"
 _HEADLINE = rf"(?m)^[ \t]*(\S[^\n]*?)[ \t]*\n\s*{_DATE}[^\n]{{0,25}}$"
+_SHOWN_TEXT = rf"(?m)^[ \t]*\S[^\n]*?[ \t]*\n\s*({_DATE}[^\n]{{0,25}})$"
 
 
 def kind_of(slug: str) -> str:
@@ -167,6 +169,15 @@ def announcement_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Candidate pairs (id, lang, slug) with the log-odds of their evidence."""
     blogs = Blogs.read(table(spark, folder, "blogs"))
     lang, slug = post_key(blogs, F.col("url"))
+    lang, slug = post_key(blogs, F.col("post_url"))
+    og = F.regexp_extract("html", r'property="og:title"\s+content="([^"]*)"', 1)
+    h1 = F.regexp_replace(F.regexp_extract("html", r"(?s)<h1[^>]*>(.*?)</h1>", 1), r"<[^>]*>", "")
+    title = F.coalesce(F.nullif(F.trim(og), F.lit("")), F.nullif(F.trim(h1), F.lit("")), F.nullif(F.regexp_extract("html", _HEADLINE, 1), F.lit("")))
+    # pages show a date below the headline
+    shown = F.coalesce(F.nullif(F.regexp_extract("html", _SHOWN_MARKUP, 1), F.lit("")), F.nullif(F.regexp_extract("html", _SHOWN_TEXT, 1), F.lit("")))
+    titles = table(spark, folder, "html").select("page_id", F.col("post_url").alias("url"), lang.alias("lang"), slug.alias("slug"), once(title).alias("title"), shown.alias("shown"))
+    titles = checkpoint(titles.filter("lang is not null and slug <> '' and title is not null").groupBy("lang", "slug").agg(F.min_by("title", "page_id").alias("title"), F.min_by("shown", "page_id").alias("shown"), F.min("url").alias("url")))
+    lang, slug = post_key(blogs, F.col("url"))
     # the spellings of a post's times are gathered first, a set of at most one per snapshot: each is read once, and what
     # was changed last only where no published time is known
     listed = table(spark, folder, "all_posts").select("url", "lastmod", "published_time", lang.alias("lang"), slug.alias("slug")).filter("lang is not null and slug <> ''")
@@ -176,20 +187,19 @@ def announcement_pairs(spark: SparkSession, folder: str) -> DataFrame:
     published = checkpoint(published.filter("pub is not null"))
     untimed = listed.join(published, ["lang", "slug"], "left_anti").select("lang", "slug", "url", F.explode("mods").alias("value"))
     changed = post_instants(untimed, blogs, "value", "mod").groupBy("lang", "slug").agg(F.min("mod").alias("mod"))
+    # without a published time the date on the page counts, else the first change is a bound
+    dated = titles.filter("shown is not null").select("lang", "slug", "url", "shown").join(published, ["lang", "slug"], "left_anti")
+    dated = post_instants(dated, blogs, "shown", "day").select("lang", "slug", "day").filter("day is not null")
+    changed = changed.join(dated, ["lang", "slug"], "full_outer").select("lang", "slug", F.coalesce("day", "mod").alias("mod"))
+    changed = changed.join(listed.select("lang", "slug"), ["lang", "slug"], "left_semi")
     posts = published.withColumn("mod", F.lit(None).cast("bigint")).unionByName(changed.withColumn("pub", F.lit(None).cast("bigint")))
-    lang, slug = post_key(blogs, F.col("post_url"))
-    og = F.regexp_extract("html", r'property="og:title"\s+content="([^"]*)"', 1)
-    h1 = F.regexp_replace(F.regexp_extract("html", r"(?s)<h1[^>]*>(.*?)</h1>", 1), r"<[^>]*>", "")
-    title = F.coalesce(F.nullif(F.trim(og), F.lit("")), F.nullif(F.trim(h1), F.lit("")), F.nullif(F.regexp_extract("html", _HEADLINE, 1), F.lit("")))
-    titles = table(spark, folder, "html").select("page_id", lang.alias("lang"), slug.alias("slug"), once(title).alias("title"))
-    titles = checkpoint(titles.filter("lang is not null and slug <> '' and title is not null").groupBy("lang", "slug").agg(F.min_by("title", "page_id").alias("title")))
     labels, model = fit_wording(titles)
 
     # the rarest word of a slug is its name, of equally rare ones the longest
     words = posts.select("lang", "slug", F.explode(F.array_distinct(F.split("slug", "-"))).alias("word")).filter(r"word <> '' and not word rlike '^\\d+$'")
     usual = words.groupBy("word").agg(F.count("*").alias("n"))
     names = words.join(usual, "word").groupBy("lang", "slug").agg(F.min_by("word", F.struct("n", -F.length("word"), "word")).alias("name"))
-    posts = posts.join(names, ["lang", "slug"]).join(titles, ["lang", "slug"], "left")
+    posts = posts.join(names, ["lang", "slug"]).join(titles.select("lang", "slug", "title"), ["lang", "slug"], "left")
     posts = posts.select("lang", "slug", "name", F.col("title").alias("post_title"), F.coalesce("pub", "mod").alias("at"), F.col("pub").isNotNull().alias("exact")).filter("at is not null")
     # numbered, so that what is shuffled by key is numbers only
     posts = checkpoint(posts.withColumn("post_no", F.monotonically_increasing_id()))
