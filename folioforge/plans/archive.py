@@ -94,7 +94,7 @@ def asset_names(spark: SparkSession, folder: str) -> DataFrame:
 )
 def event_dates(spark: SparkSession, folder: str) -> DataFrame:
     ts = F.col("ts")
-    local = F.date_format(F.from_utc_timestamp(F.timestamp_millis(F.unix_millis(ts.cast("timestamp"))), "Asia/Seoul"), "yyyy-MM-dd")
+    local = F.date_format(F.convert_timezone(F.lit("UTC"), F.lit("Asia/Seoul"), ts), "yyyy-MM-dd")
     return table(spark, folder, "events").select("event_id", names.date_folder(F.date_format(ts, "yyyy-MM-dd")).alias("folder"), names.long_date_ko(F.to_date(ts)).alias("label"), local.alias("local_date"))
 
 
@@ -214,7 +214,7 @@ def _failures(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(F.date_format("logged_at", "yyyy-MM").alias("post"), F.when(F.col("url").rlike(r"(?i)\.gif"), "").otherwise(F.col("url")).alias("item")).distinct()
 
 
-_FAILURES = "(SELECT DISTINCT strftime(logged_at, '%Y-%m') AS post, CASE WHEN regexp_matches(url, '(?i)\.gif') THEN '' ELSE url END AS item FROM image_map WHERE relative_path IS NULL)"
+_FAILURES = "(SELECT DISTINCT strftime(logged_at, '%Y-%m') AS post, CASE WHEN regexp_matches(url, '(?i)[.]gif') THEN '' ELSE url END AS item FROM image_map WHERE relative_path IS NULL)"
 
 
 @query(f"SELECT post, CASE WHEN bool_or(item = '') THEN NULL ELSE array_to_string(list_sort(list(DISTINCT item)), '|') END AS items FROM {_FAILURES} GROUP BY post")
@@ -330,7 +330,8 @@ def candidate_score_rank(spark: SparkSession, folder: str) -> DataFrame:
 @query(None)
 def channel_title_match(spark: SparkSession, folder: str) -> DataFrame:
     """Pages of the day of a channel post with the most similar title; the ratio has no form in SQL."""
-    day = F.date_format(F.from_utc_timestamp(F.timestamp_millis(F.col("published_at")), "Asia/Seoul"), "yyyy-MM-dd")
+    local = F.convert_timezone(F.lit("UTC"), F.lit("Asia/Seoul"), F.expr("timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, published_at div 1000)"))
+    day = F.date_format(local, "yyyy-MM-dd")
     channel = table(spark, folder, "channel_posts").filter(F.length(F.col("published_at").cast("string")) == 13).select("row_id", "title", day.alias("d"))
     pages = docs.page_meta(docs.node_table(table(spark, folder, "html"), "post_url", "html"), ()).select("doc", "title").filter("title <> ''")
     posts = table(spark, folder, "all_posts").filter(F.col("published_time").rlike(r"^\d{4}-\d{2}-\d{2}T")).select(F.col("url").alias("doc"), F.substring("published_time", 1, 10).alias("d")).distinct()

@@ -70,7 +70,7 @@ def test_names(spark):
     assert apply(spark, names.title_slug, [" A  b_c-- d "]) == ["A-b-c-d"]
     assert apply(spark, names.date_folder, ["2024-05-06", "2024", "", None]) == ["2024/05", "2024", "unknown", "unknown"]
     assert apply(spark, lambda c: names.long_date_ko(c.cast("date")), ["2024-01-07"]) == ["2024년 1월 7일 일요일"]
-    assert apply(spark, lambda c: names.source_tag(c, {"pf.kakao": "[Channel]", "blog-en": "[EN]"}), ["http://pf.kakao.com/1", "https://blog-en.h/", "x"]) == ["[Channel]", "[EN]", ""]
+    assert apply(spark, lambda c: names.source_tag(c, {"pf.channel": "[Channel]", "blog-en": "[EN]"}), ["http://pf.channel.example/1", "https://blog-en.h/", "x"]) == ["[Channel]", "[EN]", ""]
 
 
 def test_joining_and_encoding(spark):
