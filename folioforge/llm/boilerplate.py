@@ -37,6 +37,7 @@ _DATE = re.compile(
 #: a label before a reference to another page, as in "Read also: ..."
 _LABEL = re.compile(r"^([^:：▶►→]{2,30}?)\s?[:：▶►→]\s*\S")
 _CJK = re.compile(r"[\u3040-\u30ff\u4e00-\u9fff]")
+_KANA = re.compile(r"[\u3040-\u30ff]")
 _SENTENCE_END = re.compile(r"[.!?。！？…」』”»\"']$")
 _LIST_ITEM = re.compile(r"^[-*•‣◦] ")
 
@@ -127,7 +128,10 @@ def count_templates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         st_.update(own)
                 else:
                     out_.add(t)
-                    out_.update(template(x) for x in segments(text))
+                    # the terms of a menu; two parts may be a title, and so may be the end of a trail
+                    parts = segments(text)
+                    if len(parts) > 2 and ">" not in text and "»" not in text:
+                        out_.update(template(x) for x in parts)
             outside.update(out_)
             inner.update(in_)
             styled.update(st_)
@@ -205,6 +209,8 @@ class Lexicon:
         starts = {0} | {m.end() for m in re.finditer(r"[.!?。！？…|·•・»>/]\s*|\s[—–-]\s", text)}
         for s in starts:
             words = text[s:].split(" ")
+            if len(words) > 1 and _KANA.search(words[0]) and template(words[0]) in self.furniture:
+                return True  # text in this script has no spaces, so the term stands alone
             run = self._run(words)
             if run > 1 and len(" ".join(words[:run])) >= 5:
                 return True
