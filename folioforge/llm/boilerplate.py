@@ -15,6 +15,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property, lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -39,9 +40,11 @@ _LABEL = re.compile(r"^([^:：▶►→]{2,30}?)\s?[:：▶►→]\s*\S")
 _CJK = re.compile(r"[\u3040-\u30ff\u4e00-\u9fff]")
 _KANA = re.compile(r"[\u3040-\u30ff]")
 _SENTENCE_END = re.compile(r"[.!?。！？…」』”»\"']$")
+_START = re.compile(r"[.!?。！？…|·•・»>/]\s*|\s[—–-]\s")
 _LIST_ITEM = re.compile(r"^[-*•‣◦] ")
 
 
+@lru_cache(maxsize=100_000)
 def template(text: str) -> str:
     """Line with numbers as 0 and single spaces."""
     return re.sub(r"\d+(?:[.,  ]\d+)*", "0", re.sub(r"\s+", " ", text)).strip()
@@ -139,7 +142,7 @@ def count_templates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"template": ["", *keys], "outside": [pages, *(outside[k] for k in keys)], "inside": [0, *(inner[k] for k in keys)], "styled": [0, *(styled[k] for k in keys)]})
 
 
-@dataclass(frozen=True)
+@dataclass
 class Lexicon:
     """furniture: templates of lines that are furniture wherever they stand; body: templates that stand in contents only."""
 
@@ -201,52 +204,41 @@ class Lexicon:
         known = [template(p) in self.furniture for p in parts]
         if any(a and b for a, b in zip(known, known[1:])) or any(k and len(p) >= 5 for k, p in zip(known, parts)):
             return True
+        plain = template(text)
         # at the end, after a space or, in scripts without spaces, after any letter
-        for n in range(5, min(len(text), 80)):
-            if (not text[-n - 1].isalnum() or _CJK.match(text[-n])) and template(text[-n:]) in self.furniture and (" " in text[-n:] or _CJK.match(text[-n])):
-                return True
-        # furniture may run into the text, so it is looked for word by word wherever a sentence or a segment starts
-        starts = {0} | {m.end() for m in re.finditer(r"[.!?。！？…|·•・»>/]\s*|\s[—–-]\s", text)}
-        for s in starts:
-            words = text[s:].split(" ")
-            if len(words) > 1 and _KANA.search(words[0]) and template(words[0]) in self.furniture:
+        if plain.endswith(self._long):
+            for f in self._long:
+                if plain.endswith(f) and len(f) < len(plain) and (not plain[-len(f) - 1].isalnum() or _CJK.match(f)):
+                    return True
+        # furniture may run into the text, so it is looked for wherever a sentence or a segment starts
+        for s in {0} | {m.end() for m in _START.finditer(plain)}:
+            rest = plain[s:]
+            words = rest.split(" ", 40)
+            if len(words) > 1 and _KANA.search(words[0]) and words[0] in self.furniture:
                 return True  # text in this script has no spaces, so the term stands alone
             run = self._run(words)
             if run > 1 and len(" ".join(words[:run])) >= 5:
                 return True
-            for n in range(min(len(words), 24), 1, -1):
-                joined = " ".join(words[:n])
-                if len(joined) >= 8 and (template(joined) in self.furniture or (n > 2 and self._all_segments(joined))):
-                    return True
-            head = template(text[s:])
-            if any(head.startswith(f) for f in self._long_by_head.get(head[:4], ())):
-                return True
+            if rest.startswith(self._long):
+                for f in self._long:
+                    if len(f) >= 8 and rest.startswith(f) and (len(f) == len(rest) or not rest[len(f)].isalnum() or _CJK.match(f)):
+                        return True
         return False
 
-    def _all_segments(self, text: str) -> bool:
-        parts = segments(text)
-        return len(parts) > 1 and all(template(p) in self.furniture for p in parts)
-
-    @property
-    def _long_by_head(self) -> dict[str, list[str]]:
-        """Long furniture by its first letters, for scripts without spaces."""
-        found = self.__dict__.get("_heads")
-        if found is None:
-            found = {}
-            for f in self.furniture:
-                if len(f) >= 8:
-                    found.setdefault(f[:4], []).append(f)
-            object.__setattr__(self, "_heads", found)
-        return found
+    @cached_property
+    def _long(self) -> tuple[str, ...]:
+        """Furniture that is enough by itself: of some words, or of some letters where words aren't parted."""
+        return tuple(sorted(f for f in self.furniture if len(f) >= 5 and f[0] != "\u0001" and (" " in f or _CJK.match(f))))
 
 
 def furniture_of(page: Page, lexicon: Lexicon) -> list[bool]:
     """For each visible line whether it is furniture."""
     texts = [t for _, t, _ in page.lines]
-    known = [lexicon.holds(t) for t in texts]
     if page.inside is not None:
+        known = [i and lexicon.holds(t) for i, t in zip(page.inside, texts)]
         headline = [any(b.tag == "h1" for b in a) for _, _, a in page.lines]
         return [not i or ((k or s) and not h) for i, k, s, h in zip(page.inside, known, page.styled, headline)]
+    known = [lexicon.holds(t) for t in texts]
     # without structure: the line before the date is the headline, what comes before it is furniture
     dates = [n for n, t in enumerate(texts) if n and len(t) < 45 and not known[n] and _DATE.match(t) and not _LIST_ITEM.match(t) and template(t) not in lexicon.furniture]
 
