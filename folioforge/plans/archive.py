@@ -286,7 +286,7 @@ def fallback_chain(spark: SparkSession, folder: str) -> DataFrame:
 # matching
 
 
-@query("SELECT a.o_orderkey AS l, b.o_orderkey AS r, abs(date_diff('day', a.o_orderdate::DATE, b.o_orderdate::DATE)) AS days FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey <> b.o_orderkey AND abs(date_diff('day', a.o_orderdate::DATE, b.o_orderdate::DATE)) <= 62")
+@query("SELECT a.o_orderkey AS l, b.o_orderkey AS r, abs(date_diff('day', a.o_orderdate::DATE, b.o_orderdate::DATE))::INT AS days FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey <> b.o_orderkey AND abs(date_diff('day', a.o_orderdate::DATE, b.o_orderdate::DATE)) <= 62")
 def donor_interval(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders")
     return _donors(orders).filter("l <> r")
@@ -298,7 +298,7 @@ def _donors(orders: DataFrame) -> DataFrame:
 
 
 @query(
-    "WITH p AS (SELECT a.o_orderkey AS l, b.o_orderkey AS r, abs(date_diff('day', a.o_orderdate::DATE, b.o_orderdate::DATE)) AS days FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey <> b.o_orderkey AND abs(date_diff('day', a.o_orderdate::DATE, b.o_orderdate::DATE)) <= 62) "
+    "WITH p AS (SELECT a.o_orderkey AS l, b.o_orderkey AS r, abs(date_diff('day', a.o_orderdate::DATE, b.o_orderdate::DATE))::INT AS days FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey <> b.o_orderkey AND abs(date_diff('day', a.o_orderdate::DATE, b.o_orderdate::DATE)) <= 62) "
     "SELECT l, r, days FROM (SELECT *, row_number() OVER (PARTITION BY l ORDER BY days, r) AS n FROM p) WHERE n = 1"
 )
 def nearest_donor(spark: SparkSession, folder: str) -> DataFrame:
@@ -313,7 +313,7 @@ _CAND = (
 
 @query(
     _CAND + "SELECT a.slug AS ko_slug, a.lastmod AS ko_lastmod, b.lang, b.slug, b.lastmod, (a.slug = b.slug)::INT * 2 + (a.lastmod = b.lastmod)::INT AS score, "
-    "row_number() OVER (PARTITION BY a.slug, a.lastmod ORDER BY (a.slug = b.slug)::INT * 2 + (a.lastmod = b.lastmod)::INT DESC, b.lang, b.slug, b.lastmod) AS rank "
+    "CAST(row_number() OVER (PARTITION BY a.slug, a.lastmod ORDER BY (a.slug = b.slug)::INT * 2 + (a.lastmod = b.lastmod)::INT DESC, b.lang, b.slug, b.lastmod) AS INT) AS rank "
     "FROM p a JOIN p b ON a.d = b.d AND a.lang = 'ko' AND b.lang <> 'ko'"
 )
 def candidate_score_rank(spark: SparkSession, folder: str) -> DataFrame:
@@ -362,7 +362,7 @@ def section_positions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    "WITH d AS (SELECT *, row_number() OVER (PARTITION BY coalesce(lang, '') ORDER BY length(text) DESC NULLS LAST, doc_id) AS rank FROM documents) SELECT coalesce(lang, '') AS lang, doc_id, rank FROM d WHERE rank <= 3"
+    "WITH d AS (SELECT *, CAST(row_number() OVER (PARTITION BY coalesce(lang, '') ORDER BY length(text) DESC NULLS LAST, doc_id) AS INT) AS rank FROM documents) SELECT coalesce(lang, '') AS lang, doc_id, rank FROM d WHERE rank <= 3"
 )
 def top_per_group(spark: SparkSession, folder: str) -> DataFrame:
     """The three longest documents of each language: a top-k report."""
