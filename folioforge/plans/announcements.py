@@ -27,6 +27,8 @@ from folioforge.sources.tables import Blogs, table
 HOUR = 3_600_000
 #: an announcement is looked for from so many hours before to so many hours after publication
 BEFORE, AFTER = 36, 84
+#: the blogs publish the same slug within so many hours of each other, but for a few that were used again
+SIBLINGS = 48
 #: titles that the wording model is fitted on at most, and the number of hashed features
 MODEL_TITLES, MODEL_FEATURES = 5_000, 1 << 13
 #: sound keys shorter than this say too little
@@ -126,14 +128,14 @@ def channel_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield b.assign(names=names, grams=grams)
 
 
-def pair_weight(title: str, name: str, slug: str, lang: str, post_title: str | None, hours: float, exact: bool, likely: dict[str, float]) -> float:
+def pair_weight(title: str, name: str, slug: str, lang: str, post_title: str | None, hours: float | None, exact: bool, likely: dict[str, float]) -> float:
     """Log-odds that title announces the post, from its own evidence."""
     w = -3.0
-    # time: most announcements follow within hours; a post without published time has only a bound
+    # time: most announcements follow within hours; without a published time the day is known, or not even that
     if exact:
         w += 2.0 if -1 <= hours <= 14 else 1.0 if -30 <= hours <= 74 else -4.0
-    else:
-        w += 0.5
+    elif hours is not None:
+        w += 0.5 if -BEFORE - SIBLINGS <= hours <= AFTER + SIBLINGS else -3.5
     heard, own = sounds(title), sounds(name)
     plain = plain_title(title)
     told, other = ngrams(plain), ngrams(post_title) if post_title is not None else frozenset()
@@ -187,12 +189,15 @@ def announcement_pairs(spark: SparkSession, folder: str) -> DataFrame:
     published = checkpoint(published.filter("pub is not null"))
     untimed = listed.join(published, ["lang", "slug"], "left_anti").select("lang", "slug", "url", F.explode("mods").alias("value"))
     changed = post_instants(untimed, blogs, "value", "mod").groupBy("lang", "slug").agg(F.min("mod").alias("mod"))
-    # without a published time the date on the page counts, else the first change is a bound
+    # without a published time the date on the page counts; without that the first change is the end of the time in which
+    # the post was published, and without any time it may have been at any
     dated = titles.filter("shown is not null").select("lang", "slug", "url", "shown").join(published, ["lang", "slug"], "left_anti")
     dated = post_instants(dated, blogs, "shown", "day").select("lang", "slug", "day").filter("day is not null")
-    changed = changed.join(dated, ["lang", "slug"], "full_outer").select("lang", "slug", F.coalesce("day", "mod").alias("mod"))
-    changed = changed.join(listed.select("lang", "slug"), ["lang", "slug"], "left_semi")
-    posts = published.withColumn("mod", F.lit(None).cast("bigint")).unionByName(changed.withColumn("pub", F.lit(None).cast("bigint")))
+    undated = listed.select("lang", "slug").join(published, ["lang", "slug"], "left_anti").join(dated, ["lang", "slug"], "left").join(changed, ["lang", "slug"], "left")
+    # when the other blogs published the slug: evidence, but no bound, as slugs are used again
+    siblings = published.join(undated.filter("day is null").select("slug").distinct(), "slug", "left_semi").groupBy("slug").agg(F.collect_set("pub").alias("siblings"))
+    undated = undated.join(siblings, "slug", "left").select("lang", "slug", "day", F.expr("if(day is null, mod, null)").alias("until"), F.expr("if(day is null, siblings, null)").alias("siblings"))
+    posts = published.unionByName(undated, allowMissingColumns=True)
     labels, model = fit_wording(titles)
 
     # the rarest word of a slug is its name, of equally rare ones the longest
@@ -200,10 +205,10 @@ def announcement_pairs(spark: SparkSession, folder: str) -> DataFrame:
     usual = words.groupBy("word").agg(F.count("*").alias("n"))
     names = words.join(usual, "word").groupBy("lang", "slug").agg(F.min_by("word", F.struct("n", -F.length("word"), "word")).alias("name"))
     posts = posts.join(names, ["lang", "slug"]).join(titles.select("lang", "slug", "title"), ["lang", "slug"], "left")
-    posts = posts.select("lang", "slug", "name", F.col("title").alias("post_title"), F.coalesce("pub", "mod").alias("at"), F.col("pub").isNotNull().alias("exact")).filter("at is not null")
+    posts = posts.select("lang", "slug", "name", F.col("title").alias("post_title"), F.coalesce("pub", "day").alias("at"), F.col("pub").isNotNull().alias("exact"), "until", "siblings")
     # numbered, so that what is shuffled by key is numbers only
     posts = checkpoint(posts.withColumn("post_no", F.monotonically_increasing_id()))
-    keyed = posts.select("post_no", "lang", "name", "post_title", "at").mapInPandas(post_keys, "post_no bigint, lang string, name string, post_title string, at bigint, names array<string>, grams array<string>")
+    keyed = posts.select("post_no", "lang", "name", "post_title", F.col("at").cast("string").alias("at"), F.col("until").cast("string").alias("until")).mapInPandas(post_keys, "post_no bigint, lang string, name string, post_title string, at string, until string, names array<string>, grams array<string>")
     width = (BEFORE + AFTER) * HOUR
     bucket = lambda c: F.floor(c / F.lit(width))
     channel = channel_instants(table(spark, folder, "channel_posts").select("row_id", "id", "title", "published_at", "sort"), "ms")
@@ -220,28 +225,32 @@ def announcement_pairs(spark: SparkSession, folder: str) -> DataFrame:
     rare = rare.select("title_no", "ms", F.explode(F.expr(f"filter(slice(grams, 1, of - cast(ceil({SHARE} * of) as int) + 1), g -> g.n > 0)")).alias("g")).select("title_no", "ms", "g.key")
     named = sounded.select("title_no", "ms", F.explode("names").alias("form")).select("title_no", "ms", hashed("form"))
     asked = named.unionByName(rare).select("title_no", "ms", "key", bucket(F.col("ms")).alias("bucket"))
-    held = keyed.select("post_no", "at", F.explode(F.concat("names", "grams")).alias("form")).select("post_no", "at", hashed("form"))
-    held = held.select("post_no", "at", "key", F.explode(F.array_distinct(F.array(bucket(F.col("at") - BEFORE * HOUR), bucket(F.col("at") + AFTER * HOUR)))).alias("bucket"))
-    near = asked.join(held, ["bucket", "key"]).filter(f"ms between at - {BEFORE * HOUR} and at + {AFTER * HOUR}").select("title_no", "post_no").distinct()
+    held = keyed.select("post_no", F.col("at").cast("bigint").alias("at"), F.col("until").cast("bigint").alias("until"), F.explode(F.concat("names", "grams")).alias("form")).select("post_no", "at", "until", hashed("form"))
+    # posts without a day meet the titles of all times up to their bound
+    open_ = asked.join(held.filter("at is null").select("post_no", "until", "key"), "key").filter(f"until is null or ms <= until + {AFTER * HOUR}").select("title_no", "post_no")
+    held = held.filter("at is not null").select("post_no", "at", "key", F.explode(F.array_distinct(F.array(bucket(F.col("at") - BEFORE * HOUR), bucket(F.col("at") + AFTER * HOUR)))).alias("bucket"))
+    near = asked.join(held, ["bucket", "key"]).filter(f"ms between at - {BEFORE * HOUR} and at + {AFTER * HOUR}").select("title_no", "post_no").unionByName(open_).distinct()
     # by title last, so that what a title needs is calculated once
     near = near.join(posts, "post_no").join(channel, "title_no")
+    # from the time of the post, else from the nearest of its siblings'
+    near = near.withColumn("hours", F.coalesce(F.col("ms") - F.col("at"), F.expr("array_min(transform(siblings, s -> struct(abs(ms - s) as away, ms - s as after))).after")) / HOUR)
 
     def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[str, dict[str, float]] = {}
         for b in batches:
             out = []
-            for title, name, slug_, lang_, post_title, at, ms, exact in zip(b["title"], b["name"], b["slug"], b["lang"], b["post_title"], b["at"], b["ms"], b["exact"]):
+            for title, name, slug_, lang_, post_title, hours, exact in zip(b["title"], b["name"], b["slug"], b["lang"], b["post_title"], b["hours"], b["exact"]):
                 if title not in seen:
                     if len(seen) > 50_000:
                         seen.clear()
                     scores = model[:, _features(title)].sum(axis=1) if labels else np.zeros(0)
                     seen[title] = dict(zip(labels, (scores - scores.max()).tolist())) if labels else {}
                 known = html.unescape(post_title) if isinstance(post_title, str) else None
-                out.append(pair_weight(title, name, slug_, lang_, known, (ms - at) / HOUR, bool(exact), seen[title]))
+                out.append(pair_weight(title, name, slug_, lang_, known, None if pd.isna(hours) else hours, bool(exact), seen[title]))
             pairs = pd.DataFrame({"id": b["id"], "post": b["lang"] + "/" + b["slug"], "weight": np.array(out, dtype="float64")})
             yield pairs[pairs["weight"] >= LEAST_WEIGHT]
 
-    return near.mapInPandas(weigh, "id bigint, post string, weight double")
+    return near.select("id", "title", "name", "lang", "slug", "post_title", "hours", "exact").mapInPandas(weigh, "id bigint, post string, weight double")
 
 
 def p3_matches(spark: SparkSession, folder: str) -> DataFrame:
