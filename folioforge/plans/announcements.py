@@ -17,11 +17,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.functions.phonetic import contains_near, ngrams, script, skeleton, sounds
+from folioforge.functions.phonetic import CONSONANTS, VOWELS, contains_near, ngrams, one_edit, readings, script, skeleton, sounds
 from folioforge.functions.text import once
 from folioforge.operators.entity_match import best_match, match_marginals
 from folioforge.plans.problems import channel_instants, post_instants, post_key
-from folioforge.session import checkpoint
+from folioforge.session import checkpoint, stored
 from folioforge.sources.tables import Blogs, table
 
 HOUR = 3_600_000
@@ -33,6 +33,8 @@ SIBLINGS = 48
 MODEL_TITLES, MODEL_FEATURES = 5_000, 1 << 13
 #: sound keys shorter than this say too little
 LEAST_KEY, LONGEST_KEY = 2, 12
+#: the same for keys with vowels
+LEAST_PIECE, LONGEST_PIECE = 3, 6
 #: pairs whose own evidence is below these log-odds are rejected by it; messages of others only lower them further
 LEAST_WEIGHT = -6.0
 #: titles that share fewer of the channel title's letters are candidates by the name only
@@ -94,6 +96,35 @@ def _script_of_lang(lang: str) -> str:
     return lang if lang in ("ko", "ja") else "la"
 
 
+def edits_of(own: str) -> int:
+    """How many letters of a name's sounds may differ in a title."""
+    return 2 if len(own) > 8 else 1 if len(own) > 4 else 0
+
+
+def name_forms(name: str) -> tuple[set[str], set[str]]:
+    """Skeletons and pieces of sounds of which a title has one if it has the name with at most `edits_of` letters changed, added or dropped.
+
+    Two edits leave one of three pieces whole. One edit is spelled out: in the
+    skeleton, or with the vowels where the skeleton is too short to tell much.
+    """
+    own, s = sounds(name), skeleton(name)[:LONGEST_KEY]
+    forms = {s} | ({s[:i] + s[i + 1 :] for i in range(len(s))} if len(s) > 3 else set()) | ({s[:i] + s[i] + s[i:] for i in range(len(s))} if len(s) > 2 else set())
+    pieces: set[str] = set()
+    edits = edits_of(own)
+    if edits == 2:
+        cuts = [k * len(own) // 3 for k in range(4)]
+        pieces = {own[a:b] for a, b in zip(cuts, cuts[1:])}
+    elif edits and len(s) <= LEAST_KEY:
+        pieces = {own} | one_edit(own, VOWELS + CONSONANTS)
+    elif edits:
+        forms |= {f for f in one_edit(s, CONSONANTS) if len(f) > LEAST_KEY}
+        if len(s) == LEAST_KEY + 1:
+            pieces = {own[:i] + v + own[i + 1 :] for i, c in enumerate(own) if c in CONSONANTS for v in ("", *VOWELS)}
+    elif len(s) < LEAST_KEY and len(own) >= LEAST_PIECE:
+        pieces = {own}
+    return {f for f in forms if len(f) >= LEAST_KEY}, {p[:LONGEST_PIECE] for p in pieces}
+
+
 def plain_title(title: str) -> str:
     """title without marks and labels at its start: in brackets, or a word in capitals before a colon or exclamation mark."""
     title = re.sub(r"^\W*[A-ZÀ-Þ]{2,9}\s?[:!]\s+", "", title)
@@ -103,27 +134,29 @@ def plain_title(title: str) -> str:
 def post_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Keys under which a post is found.
 
-    names: the skeleton of its name and, if long enough, the same with one sound
-    missing or said twice. grams: three letters of its title, if it is known.
+    names: `name_forms` of the name in each of its readings. grams: three
+    letters of its title, if it is known.
     """
     for b in batches:
         names, grams = [], []
         for lang, name, title in zip(b["lang"], b["name"], b["post_title"]):
-            s = skeleton(name)[:LONGEST_KEY]
-            forms = {s} | ({s[:i] + s[i + 1 :] for i in range(len(s))} if len(s) > 3 else set()) | ({s[:i] + s[i] + s[i:] for i in range(len(s))} if len(s) > 2 else set())
-            names.append(_keys([f for f in forms if len(f) >= LEAST_KEY], _script_of_lang(lang)))
-            grams.append(_keys(ngrams(html.unescape(title), 3), "g" + _script_of_lang(lang)) if isinstance(title, str) else [])
+            kind = _script_of_lang(lang)
+            forms, pieces = (set().union(*x) for x in zip(*map(name_forms, readings(name, kind))))
+            names.append(_keys(forms, kind) + _keys(pieces, "s" + kind))
+            grams.append(_keys(ngrams(html.unescape(title), 3), "g" + kind) if isinstance(title, str) else [])
         yield b.assign(names=names, grams=grams)
 
 
 def channel_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Keys of a channel title: all stretches of its skeleton, and three letters of it."""
+    """Keys of a channel title: all stretches of its skeleton and of its sounds, and three letters of it."""
     for b in batches:
         names, grams = [], []
         for title in b["title"]:
             s = skeleton(title)
             forms = {s[i:j] for i in range(len(s)) for j in range(i + LEAST_KEY, min(len(s), i + LONGEST_KEY) + 1)}
-            names.append(_keys(forms, script(title)))
+            heard = sounds(title)
+            pieces = {heard[i:j] for i in range(len(heard)) for j in range(i + LEAST_PIECE, min(len(heard), i + LONGEST_PIECE) + 1)}
+            names.append(_keys(forms, script(title)) + _keys(pieces, "s" + script(title)))
             grams.append(_keys(ngrams(plain_title(title), 3), "g" + script(title)))
         yield b.assign(names=names, grams=grams)
 
@@ -136,14 +169,16 @@ def pair_weight(title: str, name: str, slug: str, lang: str, post_title: str | N
         w += 2.0 if -1 <= hours <= 14 else 1.0 if -30 <= hours <= 74 else -4.0
     elif hours is not None:
         w += 0.5 if -BEFORE - SIBLINGS <= hours <= AFTER + SIBLINGS else -3.5
-    heard, own = sounds(title), sounds(name)
+    heard, spoken = sounds(title), [sounds(x) for x in readings(name, _script_of_lang(lang))]
+    # the reading that is heard best
+    own = next((x for k in range(3) for x in spoken if (k == 0 and x in heard) or 0 < k <= edits_of(x) and contains_near(heard, x, k)), spoken[0])
     plain = plain_title(title)
     told, other = ngrams(plain), ngrams(post_title) if post_title is not None else frozenset()
     if len(own) > 2 and own in heard:
         w += 4.0 if len(own) > 3 else 3.5
-    elif len(own) > 4 and contains_near(heard, own, 1):
+    elif edits_of(own) and contains_near(heard, own, 1):
         w += 2.5
-    elif len(own) > 8 and contains_near(heard, own, 2):
+    elif edits_of(own) > 1 and contains_near(heard, own, 2):
         w += 1.5
     elif post_title is not None and len(told - other) <= (2 if script(plain) == "la" else 1):
         # nothing but what the post's title says: the name was left out or cut off
@@ -208,13 +243,16 @@ def announcement_pairs(spark: SparkSession, folder: str) -> DataFrame:
     posts = posts.select("lang", "slug", "name", F.col("title").alias("post_title"), F.coalesce("pub", "day").alias("at"), F.col("pub").isNotNull().alias("exact"), "until", "siblings")
     # numbered, so that what is shuffled by key is numbers only
     posts = checkpoint(posts.withColumn("post_no", F.monotonically_increasing_id()))
-    keyed = posts.select("post_no", "lang", "name", "post_title", F.col("at").cast("string").alias("at"), F.col("until").cast("string").alias("until")).mapInPandas(post_keys, "post_no bigint, lang string, name string, post_title string, at string, until string, names array<string>, grams array<string>")
+    # written, as the keys are read several times and cost more than their reading
+    keyed = posts.select("post_no", "lang", "name", "post_title", F.col("at").cast("string").alias("at"), F.col("until").cast("string").alias("until")).mapInPandas(post_keys, "post_no bigint, lang string, name string, post_title string, at string, until string, names array<string>, grams array<string>").drop("lang", "name", "post_title")
+    keyed = stored(keyed)
     width = (BEFORE + AFTER) * HOUR
     bucket = lambda c: F.floor(c / F.lit(width))
     channel = channel_instants(table(spark, folder, "channel_posts").select("row_id", "id", "title", "published_at", "sort"), "ms")
     channel = channel.select("id", "title", F.coalesce("ms", F.expr("sort div 10")).alias("ms")).filter("id is not null and title is not null and ms is not null")
     channel = checkpoint(channel.withColumn("title_no", F.monotonically_increasing_id()))
-    sounded = channel.select("title_no", "title", "ms").mapInPandas(channel_keys, "title_no bigint, title string, ms bigint, names array<string>, grams array<string>")
+    sounded = channel.select("title_no", "title", "ms").mapInPandas(channel_keys, "title_no bigint, title string, ms bigint, names array<string>, grams array<string>").drop("title")
+    sounded = stored(sounded)
 
     # Two titles that share at least SHARE of the channel title's letters share one of its rarest; the rarest are enough of
     # them that the rest is less than SHARE.

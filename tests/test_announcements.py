@@ -35,3 +35,31 @@ def test_without_published_time_the_first_change_is_only_a_bound(spark, tmp_path
         (4, "New hero: Seshator, keeper of the ember", ms(2022, 1, 1, 10)),  # far from the sibling's time
     ]
     assert found(spark, tmp_path, posts, channel) == {(1, "en", "new-hero-seshator"), (3, "en", "story-pivetorga")}
+
+
+def test_kana_have_one_letter_for_hu_and_fu(spark, tmp_path):
+    posts = [("https://blog-ja.example/maintenance-monihum-3/", "2024-02-27", "2024-02-01T12:00:00Z"), ("https://blog-ja.example/maintenance-roli/", "2023-02-27", "2023-02-01T12:00:00Z")]
+    assert found(spark, tmp_path, posts, [(1, "モニフムサーバーメンテのお知らせ", ms(2024, 2, 1, 15))]) == {(1, "ja", "maintenance-monihum-3")}
+
+
+def test_keys_cover_every_edit_that_weights_accept():
+    import random
+
+    from folioforge.functions.phonetic import contains_near, skeleton, sounds
+    from folioforge.plans.announcements import edits_of, name_forms
+
+    rng = random.Random(3)
+    near = 0
+    for _ in range(6000):
+        name = "".join(rng.choice("bkdslmnhaeio") for _ in range(rng.randrange(3, 13)))
+        title = list(name)
+        for _ in range(rng.randrange(3)):
+            at = rng.randrange(len(title))
+            title[at : at + rng.randrange(2)] = rng.choice(["", "k", "m", "a", "o", title[at] * 2])
+            title = title or ["a"]
+        title = "".join(rng.choice("kmaeo") for _ in range(3)) + "".join(title) + "tile"
+        if contains_near(sounds(title), sounds(name), edits_of(sounds(name))):
+            near += 1
+            forms, pieces = name_forms(name)
+            assert any(f in skeleton(title) for f in forms) or any(p in sounds(title) for p in pieces), (name, title)
+    assert near > 2000
