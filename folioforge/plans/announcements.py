@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.functions.phonetic import CONSONANTS, VOWELS, contains_near, ngrams, one_edit, readings, script, skeleton, sounds
@@ -46,6 +46,12 @@ _HEADLINE = rf"(?m)^[ \t]*(\S[^\n]*?)[ \t]*\n\s*{_DATE}[^\n]{{0,25}}$"
 _SHOWN_TEXT = rf"(?m)^[ \t]*\S[^\n]*?[ \t]*\n\s*({_DATE}[^\n]{{0,25}})$"
 
 
+def shown_headline_and_date(page: str) -> tuple[Column, Column]:
+    """The headline of a text dump, and the date that a page shows below its headline; null where there is none."""
+    headline = F.nullif(F.regexp_extract(page, _HEADLINE, 1), F.lit(""))
+    return headline, F.coalesce(F.nullif(F.regexp_extract(page, _SHOWN_MARKUP, 1), F.lit("")), F.nullif(F.regexp_extract(page, _SHOWN_TEXT, 1), F.lit("")))
+
+
 def kind_of(slug: str) -> str:
     return slug.split("-")[0]
 
@@ -209,9 +215,8 @@ def announcement_pairs(spark: SparkSession, folder: str) -> DataFrame:
     lang, slug = post_key(blogs, F.col("post_url"))
     og = F.regexp_extract("html", r'property="og:title"\s+content="([^"]*)"', 1)
     h1 = F.regexp_replace(F.regexp_extract("html", r"(?s)<h1[^>]*>(.*?)</h1>", 1), r"<[^>]*>", "")
-    title = F.coalesce(F.nullif(F.trim(og), F.lit("")), F.nullif(F.trim(h1), F.lit("")), F.nullif(F.regexp_extract("html", _HEADLINE, 1), F.lit("")))
-    # pages show a date below the headline
-    shown = F.coalesce(F.nullif(F.regexp_extract("html", _SHOWN_MARKUP, 1), F.lit("")), F.nullif(F.regexp_extract("html", _SHOWN_TEXT, 1), F.lit("")))
+    headline, shown = shown_headline_and_date("html")
+    title = F.coalesce(F.nullif(F.trim(og), F.lit("")), F.nullif(F.trim(h1), F.lit("")), headline)
     titles = table(spark, folder, "html").select("page_id", F.col("post_url").alias("url"), lang.alias("lang"), slug.alias("slug"), once(title).alias("title"), shown.alias("shown"))
     titles = checkpoint(titles.filter("lang is not null and slug <> '' and title is not null").groupBy("lang", "slug").agg(F.min_by("title", "page_id").alias("title"), F.min_by("shown", "page_id").alias("shown"), F.min("url").alias("url")))
     lang, slug = post_key(blogs, F.col("url"))

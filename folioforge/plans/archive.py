@@ -14,6 +14,9 @@ from folioforge.functions.url import clean_url, host_of, language_variant, link_
 from folioforge.operators import documents as docs
 from folioforge.operators import relations as rel
 from folioforge.operators import render
+from folioforge.plans.announcements import shown_headline_and_date
+from folioforge.plans.problems import CHANNEL_ZONE, channel_instants, post_instants, post_key
+from folioforge.session import checkpoint
 from folioforge.sources.tables import Blogs, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -327,15 +330,37 @@ def candidate_score_rank(spark: SparkSession, folder: str) -> DataFrame:
     return rel.ranked(pairs, ["ko_slug", "ko_lastmod"], [F.desc("score"), F.col("lang"), F.col("slug"), F.col("lastmod")]).drop("d")
 
 
+def _day(ms: str) -> Column:
+    """Day of the instant in the zone of the channel."""
+    local = F.convert_timezone(F.lit("UTC"), F.lit(CHANNEL_ZONE), F.expr(f"timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {ms} div 1000)"))
+    return F.date_format(local, "yyyy-MM-dd")
+
+
 @query(None)
 def channel_title_match(spark: SparkSession, folder: str) -> DataFrame:
-    """Pages of the day of a channel post with the most similar title; the ratio has no form in SQL."""
-    local = F.convert_timezone(F.lit("UTC"), F.lit("Asia/Seoul"), F.expr("timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, published_at div 1000)"))
-    day = F.date_format(local, "yyyy-MM-dd")
-    channel = table(spark, folder, "channel_posts").filter(F.length(F.col("published_at").cast("string")) == 13).select("row_id", "title", day.alias("d"))
-    pages = docs.page_meta(docs.node_table(table(spark, folder, "html"), "post_url", "html"), ()).select("doc", "title").filter("title <> ''")
-    posts = table(spark, folder, "all_posts").filter(F.col("published_time").rlike(r"^\d{4}-\d{2}-\d{2}T")).select(F.col("url").alias("doc"), F.substring("published_time", 1, 10).alias("d")).distinct()
-    titled = pages.join(posts, "doc").select("d", F.col("title").alias("page_title"), F.xxhash64("doc").alias("page"))
+    """Pages of the day of a channel post with the most similar title; the ratio has no form in SQL.
+
+    Posts without a published time are of the day that their page shows, channel
+    posts without one of the time they are sorted by.
+    """
+    blogs = Blogs.read(table(spark, folder, "blogs"))
+    channel = channel_instants(table(spark, folder, "channel_posts"), "ms").withColumn("ms", F.coalesce("ms", F.expr("sort div 10")))
+    channel = channel.filter("title is not null and ms is not null").select("row_id", "title", _day("ms").alias("d"))
+    lang, slug = post_key(blogs, F.col("post_url"))
+    headline, shown = shown_headline_and_date("html")
+    html = table(spark, folder, "html").select(F.col("page_id").cast("string").alias("doc"), F.col("post_url").alias("url"), "html", lang.alias("lang"), slug.alias("slug")).filter("lang is not null and slug <> ''")
+    titles = docs.page_meta(docs.node_table(html, "doc", "html"), ()).select("doc", F.nullif("title", F.lit("")).alias("title"))
+    # text dumps have their headline above the date
+    pages = html.select("doc", "url", "lang", "slug", headline.alias("headline"), shown.alias("shown")).join(titles, "doc", "left")
+    pages = checkpoint(pages.select("url", "lang", "slug", F.coalesce("title", "headline").alias("page_title"), "shown").filter("page_title is not null"))
+    lang, slug = post_key(blogs, F.col("url"))
+    posts = table(spark, folder, "all_posts").select("url", "published_time", lang.alias("lang"), slug.alias("slug")).filter("lang is not null and slug <> ''")
+    listed = posts.groupBy("lang", "slug").agg(F.min("url").alias("url"), F.collect_set(F.nullif("published_time", F.lit(""))).alias("times"))
+    listed = checkpoint(listed)
+    published = post_instants(listed.select("lang", "slug", "url", F.explode("times").alias("value")), blogs, "value", "ms").filter("ms is not null").select("lang", "slug", _day("ms").alias("d")).distinct()
+    dated = pages.filter("shown is not null").join(listed.select("lang", "slug"), ["lang", "slug"], "left_semi").join(published, ["lang", "slug"], "left_anti")
+    dated = post_instants(dated, blogs, "shown", "ms").filter("ms is not null").select("lang", "slug", _day("ms").alias("d")).distinct()
+    titled = pages.groupBy("lang", "slug", "page_title").agg(F.min("url").alias("url")).join(published.unionByName(dated), ["lang", "slug"]).select("d", "page_title", F.xxhash64("url").alias("page"))
     return rel.best_title(channel, titled, ["d"], "row_id", "title", "page", "page_title", 0.55)
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from folioforge.plans import archive
 from folioforge.plans.announcements import p3_found
 
 LOADED = dt.datetime(2024, 3, 1)
@@ -11,14 +12,20 @@ def ms(*ymdh):
     return int(dt.datetime(*ymdh, tzinfo=dt.UTC).timestamp() * 1000)
 
 
-def found(spark, tmp_path, posts, channel):
-    """posts: (url, lastmod, published_time); channel: (id, title, ms). No page is saved."""
+def tables(spark, tmp_path, posts, channel, pages=()):
+    """posts: (url, lastmod, published_time); channel: (id, title, published_at, ms); pages: (url, html)."""
     write = lambda name, rows, schema: spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
     write("blogs", [(x, f"blog-{x}.example", "UTC", "ymd") for x in ("en", "fr", "ja")], "lang string, host string, tz string, date_order string")
     write("all_posts", [(n, 1, "2024-03-01", *p, LOADED) for n, p in enumerate(posts)], "row_id bigint, snap_no int, snapshot_date string, url string, lastmod string, published_time string, loaded_at timestamp")
-    write("channel_posts", [(n, i, title, at, [], at * 10) for n, (i, title, at) in enumerate(channel)], "row_id bigint, id bigint, title string, published_at bigint, media_urls array<string>, sort bigint")
-    write("html", [], "page_id bigint, post_url string, html string, excerpt string, fetched_at timestamp")
-    return {(r.id, r.lang, r.slug) for r in p3_found(spark, str(tmp_path)).collect()}
+    write("channel_posts", [(n, i, title, at, [], ms_ * 10) for n, (i, title, at, ms_) in enumerate(channel)], "row_id bigint, id bigint, title string, published_at bigint, media_urls array<string>, sort bigint")
+    write("html", [(n, *p, None, LOADED) for n, p in enumerate(pages)], "page_id bigint, post_url string, html string, excerpt string, fetched_at timestamp")
+    return str(tmp_path)
+
+
+def found(spark, tmp_path, posts, channel):
+    """channel: (id, title, ms). No page is saved."""
+    folder = tables(spark, tmp_path, posts, [(*c, c[2]) for c in channel])
+    return {(r.id, r.lang, r.slug) for r in p3_found(spark, folder).collect()}
 
 
 def test_without_published_time_the_first_change_is_only_a_bound(spark, tmp_path):
@@ -63,3 +70,20 @@ def test_keys_cover_every_edit_that_weights_accept():
             forms, pieces = name_forms(name)
             assert any(f in skeleton(title) for f in forms) or any(p in sounds(title) for p in pieces), (name, title)
     assert near > 2000
+
+
+def test_titles_match_whatever_the_spelling_of_url_and_time(spark, tmp_path):
+    posts = [("https://blog-en.example/guide-a/", None, "2024-02-01T12:00:00Z"), ("HTTPS://www.blog-en.example/Guide-B?ref=x", None, "2024-02-02 20:00"), ("https://blog-en.example/guide-c/", None, "")]
+    page = "<html><body><h1>{}</h1><p>{}</p></body></html>"
+    pages = [
+        ("http://blog-en.example/guide-a", page.format("Harbour guide", "")),
+        ("https://blog-en.example/guide-b/", page.format("Market &amp; mill guide", "")),
+        ("https://blog-en.example/guide-c/", "menu\nTower guide\n2024-02-05\ntext of the guide"),
+    ]
+    channel = [
+        (1, "Harbour guide", ms(2024, 2, 1, 13) // 1000, ms(2024, 2, 1, 13)),
+        (2, "Market & mill guide", ms(2024, 2, 3, 1), ms(2024, 2, 3, 1)),  # both on the 3rd in Seoul
+        (3, "Tower guide", None, ms(2024, 2, 5, 3)),
+    ]
+    rows = archive.channel_title_match(spark, tables(spark, tmp_path, posts, channel, pages)).collect()
+    assert {(r.row_id, round(r.ratio, 1)) for r in rows} == {(0, 1.0), (1, 1.0), (2, 1.0)}
