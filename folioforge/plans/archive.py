@@ -336,6 +336,28 @@ def _day(ms: str) -> Column:
     return F.date_format(local, "yyyy-MM-dd")
 
 
+def _listed(spark: SparkSession, folder: str) -> DataFrame:
+    """A row per post of the latest snapshot, with the instants (null if there are none) of the row that was loaded last."""
+    blogs = Blogs.read(table(spark, folder, "blogs"))
+    lang, slug = post_key(blogs, F.col("url"))
+    rows = _latest(spark, folder).select("row_id", "url", "lastmod", "published_time", "loaded_at", lang.alias("lang"), slug.alias("slug")).filter("lang is not null and slug <> ''")
+    last = rows.groupBy("lang", "slug").agg(F.max(F.struct("loaded_at", "row_id", "url", "lastmod", "published_time")).alias("r")).select("lang", "slug", "r.row_id", "r.url", "r.lastmod", "r.published_time")
+    return post_instants(post_instants(last, blogs, "published_time", "published_ms"), blogs, "lastmod", "lastmod_ms").select("lang", "slug", "row_id", "published_ms", "lastmod_ms")
+
+
+@query(None)
+def candidate_ranks(spark: SparkSession, folder: str) -> DataFrame:
+    """candidate_score_rank over all posts, languages and spellings, by instants; it has no SQL, as that can't read the times.
+
+    Days are those of the channel's zone. A lastmod that isn't known agrees with none; a post without published time has no day.
+    """
+    posts = _listed(spark, folder).withColumn("d", _day("published_ms")).filter("d is not null").select("lang", "slug", "lastmod_ms", "d")
+    ko = posts.filter("lang = 'ko'").select("d", F.col("slug").alias("ko_slug"), F.col("lastmod_ms").alias("ko_lastmod_ms"))
+    alike = F.coalesce(F.col("ko_lastmod_ms") == F.col("lastmod_ms"), F.lit(False))
+    pairs = ko.join(posts.filter("lang <> 'ko'"), "d").withColumn("score", (F.col("ko_slug") == F.col("slug")).cast("int") * 2 + alike.cast("int"))
+    return rel.ranked(pairs, ["ko_slug"], [F.desc("score"), F.col("lang"), F.col("slug")]).drop("d")
+
+
 @query(None)
 def channel_title_match(spark: SparkSession, folder: str) -> DataFrame:
     """Pages of the day of a channel post with the most similar title; the ratio has no form in SQL.
@@ -517,6 +539,16 @@ def category_listing(spark: SparkSession, folder: str) -> DataFrame:
     return placed.groupBy("category", "page_no").agg(F.array_join(ids, ",").alias("posts"))
 
 
+@query(None)
+def category_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """category_listing over all posts, languages and spellings, newest instant first and unknown ones last; it has no SQL, as that can't read the times."""
+    rows = _listed(spark, folder).withColumn("of", F.concat_ws("/", "lang", F.substring_index("slug", "-", 1)))
+    placed = rel.paged(rows, "of", [F.desc_nulls_last("published_ms"), F.col("row_id")], 20)
+    ids: Column = F.transform(F.array_sort(F.collect_list(F.struct("place", "row_id"))), lambda x: x.row_id.cast("string"))
+    pages = placed.groupBy("of", "page_no").agg(F.array_join(ids, ",").alias("posts"))
+    return pages.select(F.substring_index("of", "/", 1).alias("lang"), F.expr("substr(of, instr(of, '/') + 1)").alias("category"), "page_no", "posts")
+
+
 @query("SELECT c_custkey, '\"' || replace(c_name || ', \"' || c_mktsegment || '\"', '\"', '\"\"') || '\",' || c_custkey::VARCHAR AS line FROM customer")
 def csv_lines(spark: SparkSession, folder: str) -> DataFrame:
     quoted = F.concat(F.col("c_name"), F.lit(', "'), F.col("c_mktsegment"), F.lit('"')).alias("name")

@@ -15,7 +15,7 @@ def ms(*ymdh):
 def tables(spark, tmp_path, posts, channel, pages=()):
     """posts: (url, lastmod, published_time); channel: (id, title, published_at, ms); pages: (url, html)."""
     write = lambda name, rows, schema: spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
-    write("blogs", [(x, f"blog-{x}.example", "UTC", "ymd") for x in ("en", "fr", "ja")], "lang string, host string, tz string, date_order string")
+    write("blogs", [(x, f"blog-{x}.example", "UTC", "ymd") for x in ("en", "fr", "ja", "ko")], "lang string, host string, tz string, date_order string")
     write("all_posts", [(n, 1, "2024-03-01", *p, LOADED) for n, p in enumerate(posts)], "row_id bigint, snap_no int, snapshot_date string, url string, lastmod string, published_time string, loaded_at timestamp")
     write("channel_posts", [(n, i, title, at, [], ms_ * 10) for n, (i, title, at, ms_) in enumerate(channel)], "row_id bigint, id bigint, title string, published_at bigint, media_urls array<string>, sort bigint")
     write("html", [(n, *p, None, LOADED) for n, p in enumerate(pages)], "page_id bigint, post_url string, html string, excerpt string, fetched_at timestamp")
@@ -87,3 +87,16 @@ def test_titles_match_whatever_the_spelling_of_url_and_time(spark, tmp_path):
     ]
     rows = archive.channel_title_match(spark, tables(spark, tmp_path, posts, channel, pages)).collect()
     assert {(r.row_id, round(r.ratio, 1)) for r in rows} == {(0, 1.0), (1, 1.0), (2, 1.0)}
+
+
+def test_candidates_and_listings_have_posts_of_every_spelling(spark, tmp_path):
+    blog = "https://blog-{}.example/"
+    posts = [
+        (blog.format("ko") + "hero-a/", "2024-02-03", "2024-02-01T12:00:00Z"),
+        ("http://www.blog-fr.example/Hero-A?ref=x", "2024-02-03T00:00:00Z", "2024-02-01 12:30"),
+        (blog.format("en") + "hero-b/", None, "1706792400"),
+        (blog.format("en") + "hero-c", "", ""),
+    ]
+    folder = tables(spark, tmp_path, posts, [])
+    assert [(r.ko_slug, r.lang, r.slug, r.score, r["rank"]) for r in archive.candidate_ranks(spark, folder).orderBy("rank").collect()] == [("hero-a", "fr", "hero-a", 3, 1), ("hero-a", "en", "hero-b", 0, 2)]
+    assert {(r.lang, r.category, r.page_no, r.posts) for r in archive.category_pages(spark, folder).collect()} == {("ko", "hero", 1, "0"), ("fr", "hero", 1, "1"), ("en", "hero", 1, "2,3")}
