@@ -182,8 +182,6 @@ def _hits(text: str, items: Items, numbers: dict[str, dict]) -> list[tuple[int,
 
 def _near_a_diagonal(found: list[tuple[int, int]], places: list[list[tuple[int, int]]], units: list[Unit]) -> bool:
     """Whether as many places of an item fall into one band of diagonals as a passage has whole terms."""
-    if len({t for t, _ in found}) < min(WORDS.whole, CHARACTERS.whole):
-        return False
     bands: dict[tuple[int, int], set[int]] = {}
     for t, k in found:
         for item, p in places[t]:

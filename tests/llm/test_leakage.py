@@ -87,3 +87,8 @@ def test_no_items_no_documents_equal_items(spark):
 
 def test_plain():
     assert words(plain("Don’t <i>STOP</i>&amp;go ﬁne")) == ["dont", "stop", "go", "fine"]
+
+
+def test_a_refrain_has_few_distinct_terms(spark):
+    refrain = "hey ho the wind " * 6
+    assert run(spark, [(1, " ".join(text(30)) + " " + refrain + " ".join(text(30))), (2, " ".join(text(60)))], [(7, refrain)]).keys() == {(1, 7)}
