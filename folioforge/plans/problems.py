@@ -44,10 +44,10 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     """Posts added, removed or changed at each snapshot."""
     blogs = Blogs.read(table(spark, folder, "blogs"))
-    posts = table(spark, folder, "all_posts").select("row_id", "snap_no", "url", "lastmod", "loaded_at")
+    posts = table(spark, folder, "all_posts").select("snap_no", "url", "lastmod", "loaded_at")
     lang, slug = post_key(blogs, F.col("url"))
-    rows = post_instants(posts, blogs, "lastmod", "utc_ms").select("row_id", "snap_no", "loaded_at", "utc_ms", lang.alias("lang"), F.nullif(slug, F.lit("")).alias("slug"))
-    return snapshot_changes(rows, "snap_no", ["lang", "slug"], ["loaded_at", "row_id"], [F.col("utc_ms")])
+    rows = post_instants(posts, blogs, "lastmod", "utc_ms").select("snap_no", "loaded_at", "utc_ms", lang.alias("lang"), F.nullif(slug, F.lit("")).alias("slug"))
+    return snapshot_changes(rows, "snap_no", ["lang", "slug"], ["loaded_at"], [F.col("utc_ms")])
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -52,3 +52,14 @@ def test_against_brute_force(spark):
 
 def test_one_snapshot_and_none(spark):
     assert changes(spark, [(1, "a", 1, 1, "")]) == [] and changes(spark, []) == []
+
+
+def test_no_step_sorts_all_rows(spark):
+    df = spark.createDataFrame([(1, "a", 1, 1, "")], SCHEMA)
+    plan = snapshot_changes(df, "s", ["k"], ["loaded"], [F.col("v")])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_other_orders_are_compared_as_a_structure(spark):
+    df = spark.createDataFrame([(1, "a", 1, 1, "x"), (2, "a", 1, 1, "x"), (2, "a", 1, 2, "y")], "s int, k string, loaded int, v bigint, by string")
+    assert [r.change for r in snapshot_changes(df, "s", ["k"], ["loaded", "by"], [F.col("v")]).collect()] == ["changed"]
