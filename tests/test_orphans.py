@@ -6,10 +6,10 @@ from folioforge.operators.orphans import orphan_keys, orphans_of_intervals, orph
 T0 = datetime(2024, 1, 1, 12)
 
 
-def intervals(spark, refs, kept):
+def intervals(spark, refs, kept, hot=20_000):
     r = spark.createDataFrame(refs, "id bigint, k string, t timestamp_ntz, reason string")
     d = spark.createDataFrame(kept, "k string, s timestamp_ntz, e timestamp_ntz, t int")
-    return sorted((x.id, x.reason) for x in orphans_of_intervals(r, "k", "t", "id", d, "s", "e").collect())
+    return sorted((x.id, x.reason) for x in orphans_of_intervals(r, "k", "t", "id", d, "s", "e", hot).collect())
 
 
 def brute(refs, kept):
@@ -30,7 +30,7 @@ def test_ties_nulls_and_order(spark):
     kept = [("a", T0, T0 + day, 0), ("a", T0 + 3 * day, None, 0), ("b", T0, T0, 0), ("c", None, None, 0), ("", T0, None, 0)]
     times = [T0 - day, T0, T0 + day / 2, T0 + day, T0 + 2 * day, T0 + 3 * day, T0 + 90 * day, None]
     refs = [(n * 10 + m, k, t, "") for n, k in enumerate(["a", "b", "c", "x", None, ""]) for m, t in enumerate(times)]
-    assert intervals(spark, refs, kept) == brute(refs, kept)
+    assert intervals(spark, refs, kept) == brute(refs, kept) == intervals(spark, refs, kept, 0)
 
 
 def test_against_brute_force(spark):
@@ -41,10 +41,17 @@ def test_against_brute_force(spark):
     for _ in range(60):
         s = at()
         kept.append((rng.choice("aabcf"), s, rng.choice([None, s + timedelta(hours=rng.randrange(-3, 60))]), 0))
-    assert intervals(spark, refs, kept) == brute(refs, kept)
+    assert intervals(spark, refs, kept) == brute(refs, kept) == intervals(spark, refs, kept, 30)
     assert intervals(spark, refs, []) == brute(refs, []) and intervals(spark, [], kept) == []
 
 
+def test_changes_within_one_second_and_one_day_of_a_hot_key(spark):
+    us = timedelta(microseconds=1)
+    kept = [("a", T0 + n * 7 * us, T0 + (n * 7 + 3) * us, 0) for n in range(30)] + [("a", T0 + timedelta(hours=n), T0 + timedelta(hours=n, minutes=9), 0) for n in range(4)]
+    refs = [(n, "a", T0 + n * us, "") for n in range(220)] + [(1000 + n, "a", T0 + timedelta(minutes=n), "") for n in range(200)]
+    assert intervals(spark, refs, kept, 0) == brute(refs, kept)
+
+
 def test_snapshots(spark):
     listed = spark.createDataFrame([(1, "2024-01-01", "en", "a"), (2, "2024-02-01", "en", "a"), (2, "2024-02-01", "en", "a"), (4, "2024-03-01", "en", "b"), (4, "2024-03-01", None, "b")], "snap int, day string, lang string, slug string")
     d = datetime
