@@ -108,27 +108,30 @@ def parse(document: str) -> Node:
 
 
 def elements(node: Node, tags: frozenset[str] | set[str] | None = None):
-    """Elements below node in document order, of the given names or all."""
-    for child in node.children:
-        if isinstance(child, Node):
+    """Elements below node in document order, of the given names or all; nesting of any depth."""
+    stack = [iter(node.children)]
+    while stack:
+        child = next(stack[-1], None)
+        if child is None:
+            stack.pop()
+        elif isinstance(child, Node):
             if tags is None or child.tag in tags:
                 yield child
-            yield from elements(child, tags)
+            stack.append(iter(child.children))
 
 
 def text_of(node: Node) -> str:
     """Text of an element and all below it, entities decoded, white space stripped around each piece."""
     pieces: list[str] = []
-
-    def walk(at: Node) -> None:
-        for child in at.children:
-            if isinstance(child, Node):
-                if child.tag not in ("script", "style", "template"):
-                    walk(child)
-            else:
-                pieces.append(html.unescape(child[1]).strip())
-
-    walk(node)
+    stack = [iter(node.children)]
+    while stack:
+        child = next(stack[-1], None)
+        if child is None:
+            stack.pop()
+        elif not isinstance(child, Node):
+            pieces.append(html.unescape(child[1]).strip())
+        elif child.tag not in ("script", "style", "template"):
+            stack.append(iter(child.children))
     return "".join(pieces)
 
 
