@@ -7,17 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from folioforge.llm import boilerplate, leakage, mixing, mojibake
-from folioforge.llm.tables import table
+from folioforge.sources.tables import table
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of saved pages, and excerpts, that are site furniture."""
-    return boilerplate.page_furniture(table(spark, folder, "html"), "page_id", "html", "excerpt")
+    return boilerplate.page_furniture(table(spark, folder, "html"), "page_id", "html", "excerpt", "post_url")
 
 
 def p5_main(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of saved pages."""
-    return boilerplate.main_text(table(spark, folder, "html"), "page_id", "html")
+    return boilerplate.main_text(table(spark, folder, "html"), "page_id", "html", "post_url")
 
 
 def p6_leaks(spark: SparkSession, folder: str) -> DataFrame:
