@@ -17,9 +17,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.functions.phonetic import CONSONANTS, VOWELS, contains_near, ngrams, one_edit, readings, script, skeleton, sounds
+from folioforge.functions.phonetic import LETTERS, contains_near, ngrams, readings, script, sounds
 from folioforge.functions.text import once
 from folioforge.operators.entity_match import best_match, match_marginals
+from folioforge.operators.snapshots import small
 from folioforge.plans.problems import channel_instants, post_instants, post_key
 from folioforge.session import checkpoint, stored
 from folioforge.sources.tables import Blogs, table
@@ -30,15 +31,13 @@ BEFORE, AFTER = 36, 84
 #: the blogs publish the same slug within so many hours of each other, but for a few that were used again
 SIBLINGS = 48
 #: titles that the wording model is fitted on at most, and the number of hashed features
-MODEL_TITLES, MODEL_FEATURES = 5_000, 1 << 13
-#: sound keys shorter than this say too little
-LEAST_KEY, LONGEST_KEY = 2, 12
-#: the same for keys with vowels
-LEAST_PIECE, LONGEST_PIECE = 3, 6
+MODEL_TITLES, MODEL_FEATURES = 20_000, 1 << 13
+#: lengths of the stretches of sounds that titles are cut into; shorter ones say too little
+PIECES = (3, 4)
 #: pairs whose own evidence is below these log-odds are rejected by it; messages of others only lower them further
 LEAST_WEIGHT = -6.0
 #: titles that share fewer of the channel title's letters are candidates by the name only
-SHARE = 0.65
+SHARE = 0.5
 
 _DATE = r"(?:\d{4}\s?[-./년年]\s?\d{1,2}\s?[-./월月]\s?\d{1,2}|\d{1,2}[./-]\d{1,2}[./-]\d{4}|\d{1,2}\.?(?:er)? \p{L}{3,9}\.? \d{4}|\p{L}{3,9}\.? \d{1,2}, \d{4})"
 _SHOWN_MARKUP = rf"(?s)</h1>\s*(?:<[^>]*>\s*)*({_DATE}[^<\n]{{0,25}})"
@@ -107,28 +106,20 @@ def edits_of(own: str) -> int:
     return 2 if len(own) > 8 else 1 if len(own) > 4 else 0
 
 
-def name_forms(name: str) -> tuple[set[str], set[str]]:
-    """Skeletons and pieces of sounds of which a title has one if it has the name with at most `edits_of` letters changed, added or dropped.
+def name_pieces(name: str) -> set[str]:
+    """Stretches of sounds of which a title has one if it has the name with at most `edits_of` letters changed, added or dropped.
 
-    Two edits leave one of three pieces whole. One edit is spelled out: in the
-    skeleton, or with the vowels where the skeleton is too short to tell much.
+    Of one part more than there are edits one is left whole. Of five letters the
+    middle one is in both parts, so its changes are spelled out.
     """
-    own, s = sounds(name), skeleton(name)[:LONGEST_KEY]
-    forms = {s} | ({s[:i] + s[i + 1 :] for i in range(len(s))} if len(s) > 3 else set()) | ({s[:i] + s[i] + s[i:] for i in range(len(s))} if len(s) > 2 else set())
-    pieces: set[str] = set()
-    edits = edits_of(own)
-    if edits == 2:
-        cuts = [k * len(own) // 3 for k in range(4)]
-        pieces = {own[a:b] for a, b in zip(cuts, cuts[1:])}
-    elif edits and len(s) <= LEAST_KEY:
-        pieces = {own} | one_edit(own, VOWELS + CONSONANTS)
-    elif edits:
-        forms |= {f for f in one_edit(s, CONSONANTS) if len(f) > LEAST_KEY}
-        if len(s) == LEAST_KEY + 1:
-            pieces = {own[:i] + v + own[i + 1 :] for i, c in enumerate(own) if c in CONSONANTS for v in ("", *VOWELS)}
-    elif len(s) < LEAST_KEY and len(own) >= LEAST_PIECE:
-        pieces = {own}
-    return {f for f in forms if len(f) >= LEAST_KEY}, {p[:LONGEST_PIECE] for p in pieces}
+    own = sounds(name)
+    edits, longest = edits_of(own), PIECES[-1]
+    if len(own) < PIECES[0]:
+        return set()
+    if len(own) == 5:
+        return {own[:3], own[2:]} | {(own[:2] + x + own[3:])[:longest] for x in ("", *LETTERS)}
+    cuts = [k * len(own) // (edits + 1) for k in range(edits + 2)]
+    return {own[a:b][:longest] for a, b in zip(cuts, cuts[1:])}
 
 
 def plain_title(title: str) -> str:
@@ -140,29 +131,25 @@ def plain_title(title: str) -> str:
 def post_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Keys under which a post is found.
 
-    names: `name_forms` of the name in each of its readings. grams: three
+    names: `name_pieces` of the name in each of its readings. grams: three
     letters of its title, if it is known.
     """
     for b in batches:
         names, grams = [], []
         for lang, name, title in zip(b["lang"], b["name"], b["post_title"]):
             kind = _script_of_lang(lang)
-            forms, pieces = (set().union(*x) for x in zip(*map(name_forms, readings(name, kind))))
-            names.append(_keys(forms, kind) + _keys(pieces, "s" + kind))
+            names.append(_keys(set().union(*map(name_pieces, readings(name, kind))), kind))
             grams.append(_keys(ngrams(html.unescape(title), 3), "g" + kind) if isinstance(title, str) else [])
         yield b.assign(names=names, grams=grams)
 
 
 def channel_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Keys of a channel title: all stretches of its skeleton and of its sounds, and three letters of it."""
+    """Keys of a channel title: all stretches of its sounds of the lengths of pieces, and three letters of it."""
     for b in batches:
         names, grams = [], []
         for title in b["title"]:
-            s = skeleton(title)
-            forms = {s[i:j] for i in range(len(s)) for j in range(i + LEAST_KEY, min(len(s), i + LONGEST_KEY) + 1)}
             heard = sounds(title)
-            pieces = {heard[i:j] for i in range(len(heard)) for j in range(i + LEAST_PIECE, min(len(heard), i + LONGEST_PIECE) + 1)}
-            names.append(_keys(forms, script(title)) + _keys(pieces, "s" + script(title)))
+            names.append(_keys({heard[i : i + n] for n in PIECES for i in range(len(heard) - n + 1)}, script(title)))
             grams.append(_keys(ngrams(plain_title(title), 3), "g" + script(title)))
         yield b.assign(names=names, grams=grams)
 
@@ -270,7 +257,7 @@ def announcement_pairs(spark: SparkSession, folder: str) -> DataFrame:
     asked = named.unionByName(rare).select("title_no", "ms", "key", bucket(F.col("ms")).alias("bucket"))
     held = keyed.select("post_no", F.col("at").cast("bigint").alias("at"), F.col("until").cast("bigint").alias("until"), F.explode(F.concat("names", "grams")).alias("form")).select("post_no", "at", "until", hashed("form"))
     # posts without a day meet the titles of all times up to their bound
-    open_ = asked.join(held.filter("at is null").select("post_no", "until", "key"), "key").filter(f"until is null or ms <= until + {AFTER * HOUR}").select("title_no", "post_no")
+    open_ = asked.join(small(held.filter("at is null").select("post_no", "until", "key")), "key").filter(f"until is null or ms <= until + {AFTER * HOUR}").select("title_no", "post_no")
     held = held.filter("at is not null").select("post_no", "at", "key", F.explode(F.array_distinct(F.array(bucket(F.col("at") - BEFORE * HOUR), bucket(F.col("at") + AFTER * HOUR)))).alias("bucket"))
     near = asked.join(held, ["bucket", "key"]).filter(f"ms between at - {BEFORE * HOUR} and at + {AFTER * HOUR}").select("title_no", "post_no").unionByName(open_).distinct()
     # by title last, so that what a title needs is calculated once
