@@ -1,10 +1,18 @@
-"""Evaluation passages inside training documents, by a positional inverted index.
+"""Evaluation passages inside training documents, by a stored positional inverted index.
 
-Terms are phrases of some tokens in a row, a token being a word or, for
-Japanese, a character. The index holds the places of all terms that the test
-items have; it is counted, and each stretch of an item is looked up by its
-rarest terms only. Places that fall on one diagonal (place in the document less
-place in the item) make a candidate, which is then aligned token by token.
+The index holds every token of every training document with its places. A token
+is a word or, in scripts without spaces, two characters in a row. It is built
+once and serves any number of sets of test items: nothing of it depends on them.
+
+It is cut into blocks of documents and, by the hash of the token, into buckets;
+a row holds the sorted tokens of a bucket in a block with their postings. Rows
+lie sorted by bucket, so a search reads the buckets of its tokens only.
+
+A search counts its tokens, takes the rarest of each stretch of an item, and
+intersects their lists, shifted by the place in the item: where enough of them
+fall on one diagonal (place in the document less place in the item), document
+and item are aligned token by token. All of that is read from the index; texts
+aren't read again.
 """
 
 from __future__ import annotations
@@ -13,54 +21,71 @@ import html
 import re
 import unicodedata as ud
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.session import stored
 
-#: Test items are a bounded query set: they are collected, and their terms and places are broadcast.
-MAX_ITEMS = 20_000
 #: one token in so many may differ
 ONE_IN = 10
+#: test items are searched in sets of so many tokens, which bounds what is broadcast, whatever their number
+ITEM_TOKENS = 1_000_000
+#: a block of the index has about so many tokens and fewer documents than two bytes count
+BLOCK_TOKENS, BLOCK_DOCUMENTS = 1_000_000, 60_000
+#: rows of a block, by the first bits of a token's hash
+BUCKET_BITS = 6
+#: places in a document and an item that agree on the diagonal but for so many tokens are one candidate
+BAND = 16
+#: pairs of places that are looked at together
+CHUNK = 4_000_000
+#: an alignment follows a passage to another diagonal by stretches of so many equal tokens, however far
+STRETCH = 5
 
 
 @dataclass(frozen=True)
 class Unit:
-    """How texts are cut and matched: least length of a passage, tokens of a term, rarest terms looked up in a passage."""
+    """How texts are cut and matched: least length of a passage, length of a token, rarest tokens looked up in a passage."""
 
     name: str
     least: int
-    term: int
+    width: int
     looked_up: int
 
     @property
     def surely(self) -> int:
-        """Terms looked up that stay whole in any passage: each change breaks at most `term` of them."""
-        return self.looked_up - self.term * (self.least // ONE_IN)
+        """Tokens looked up that stay whole in any passage: each change breaks at most `width` of them."""
+        return self.looked_up - self.width * (self.least // ONE_IN)
 
     @property
-    def whole(self) -> int:
-        """Terms of any kind that stay whole in any passage."""
-        return self.least - self.term + 1 - self.term * (self.least // ONE_IN)
-
-
-#: 20 words have 17 terms of 4; two changes break at most 8 of the 11 that are looked up
-WORDS = Unit("words", 20, 4, 11)
-#: 60 characters have 55 terms of 6; six changes break at most 36 of the 40 that are looked up
-CHARACTERS = Unit("characters", 60, 6, 40)
-
-_KANA = re.compile(r"[ぁ-ゖァ-ヺ]")
-_TAG = re.compile(r"</?[a-zA-Z][^<>]{0,300}>")
-_LINK = re.compile(r"\]\([^()\s]{0,500}\)")
-_UNSEEN = re.compile("[\u200b-\u200f\u00ad\ufeff\u2060]")
-_BREAK = re.compile(r"<(?:br|p|div|li|/p|/div|/li)\b[^<>]{0,300}>", re.I)
+    def window(self) -> int:
+        """Tokens of the least passage."""
+        return self.least - self.width + 1
+
+
+#: two changes in 20 words break two of the 6 rarest
+WORDS = Unit("words", 20, 1, 6)
+#: six changes in 60 characters break 12 of the 20 rarest pairs
+CHARACTERS = Unit("characters", 60, 2, 20)
+
+# Scripts without spaces between words: Thai, Lao, Tibetan, Burmese, Khmer, kana, Han.
+_UNSPACED = re.compile("[ก-๛ກ-ໟༀ-࿿က-႟ក-៿ぁ-ゖァ-ヺ㐀-䶿一-鿿\U00020000-\U0003134f]")
+_TAG = re.compile(r"</?[a-zA-Z][^<>]*>")
+_LINK = re.compile(r"\]\([^()\s]*\)")
+_UNSEEN = re.compile("[​-‏­﻿⁠]")
+_BREAK = re.compile(r"<(?:br|p|div|li|/p|/div|/li)\b[^<>]*>", re.I)
 # Apostrophes; they join the parts of a word.
 _APOSTROPHES = "'’ʼ`´"
 _WORD = re.compile(r"[^\W_]+")
+#: marks that belong to the letter before them, in scripts where letters don't hold them
+_MARK_CLASS = "".join(chr(c) for c in range(0x300, 0x1E00) if ud.category(chr(c)).startswith("M"))
+_MARK = re.compile(f"[{_MARK_CLASS}]")
+_MARKED_WORD = re.compile(rf"(?:[^\W_]|[{_MARK_CLASS}])+")
 
 
 def plain(text: str) -> str:
@@ -80,126 +105,433 @@ def words(text: str) -> list[str]:
     for mark in _APOSTROPHES:
         if mark in text:
             text = text.replace(mark, "")
-    return _WORD.findall(text)
+    if text.isascii() or not _MARK.search(text):
+        return _WORD.findall(text)
+    return _MARKED_WORD.findall(text)
 
 
 def characters(text: str) -> str:
-    return "".join(_WORD.findall(text))
+    return "".join(words(text))
 
 
-def tokens(text: str, unit: Unit) -> list[str] | str:
-    return words(text) if unit == WORDS else characters(text)
+def unit_of(text: str) -> Unit:
+    """Text in scripts without spaces counts by characters, all other by words."""
+    return CHARACTERS if len(_UNSPACED.findall(text)) * 5 > len(text) else WORDS
+
+
+def word_key(word: str) -> int:
+    return xxhash.xxh3_64_intdigest(word)
+
+
+def pair_keys(text: str) -> np.ndarray:
+    """64-bit keys of each two characters in a row."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    if len(c) < 2:
+        return np.zeros(0, dtype=np.uint64)
+    # mixed, so that buckets are even
+    k = (c[:-1] << np.uint64(32)) | c[1:]
+    with np.errstate(over="ignore"):
+        k = (k ^ (k >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        k = (k ^ (k >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return k ^ (k >> np.uint64(31))
+
+
+def keys_of(text: str, unit: Unit) -> np.ndarray:
+    """Keys of the tokens of a plain text in order."""
+    if unit == CHARACTERS:
+        return pair_keys(characters(text))
+    return np.array([word_key(w) for w in words(text)], dtype=np.uint64)
+
+
+# the index
+
+INDEX = "block bigint, bucket int, keys binary, starts binary, docs binary, places binary"
+
+
+class _Block:
+    """Postings of some documents, in the making."""
+
+    def __init__(self, number: int) -> None:
+        self.number, self.size = number, 0
+        self.ids: list[int] = []
+        self.known: dict[str, int] = {}
+        self.words: list[list[int]] = []
+        self.pairs: list[np.ndarray] = []
+
+    def add(self, doc: int, text: str) -> None:
+        norm = plain(text)
+        known = self.known
+        own = [known.setdefault(w, len(known)) for w in words(norm)]
+        pairs = pair_keys(characters(norm)) if _UNSPACED.search(norm) else np.zeros(0, dtype=np.uint64)
+        self.ids.append(doc)
+        self.words.append(own)
+        self.pairs.append(pairs)
+        self.size += len(own) + len(pairs)
+
+    def full(self) -> bool:
+        return self.size >= BLOCK_TOKENS or len(self.ids) >= BLOCK_DOCUMENTS
+
+    def rows(self) -> list[tuple]:
+        """A row per bucket, and one of bucket -1 with the ids of the documents."""
+        table = np.array([word_key(w) for w in self.known], dtype=np.uint64)
+        keys, docs, places = [], [], []
+        for n, (own, pairs) in enumerate(zip(self.words, self.pairs)):
+            for part in (table[own] if own else None, pairs if len(pairs) else None):
+                if part is not None:
+                    keys.append(part)
+                    docs.append(np.full(len(part), n, dtype=np.uint16))
+                    places.append(np.arange(len(part), dtype=np.uint32))
+        out = [(self.number, -1, b"", b"", np.array(self.ids, dtype=np.int64).tobytes(), b"")]
+        if not keys:
+            return out
+        key, doc, place = np.concatenate(keys), np.concatenate(docs), np.concatenate(places)
+        order = np.argsort(key, kind="stable")
+        key, doc, place = key[order], doc[order], place[order]
+        bounds = np.searchsorted(key, np.arange(1 << BUCKET_BITS, dtype=np.uint64) << np.uint64(64 - BUCKET_BITS)).tolist() + [len(key)]
+        for bucket, (a, b) in enumerate(zip(bounds, bounds[1:])):
+            if b > a:
+                own = key[a:b]
+                first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+                wide = place[a:b].max() > 0xFFFF
+                starts = np.append(first, b - a).astype(np.uint32)
+                out.append((self.number, bucket, own[first].tobytes(), starts.tobytes(), doc[a:b].tobytes(), (place[a:b] if wide else place[a:b].astype(np.uint16)).tobytes()))
+        return out
+
+
+def build_index(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The positional index of all tokens of documents, as a written table."""
+
+    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [c.split()[0] for c in INDEX.split(", ")]
+        context = TaskContext.get()
+        number = (context.partitionId() if context else 0) << 32
+        block = _Block(number)
+        for b in batches:
+            for i, raw in zip(b["id"], b["text"]):
+                if raw:
+                    block.add(i, raw)
+                    if block.full():
+                        yield pd.DataFrame(block.rows(), columns=names)
+                        number += 1
+                        block = _Block(number)
+        if block.ids:
+            yield pd.DataFrame(block.rows(), columns=names)
 
+    source = documents.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text")).filter("id is not null and text is not null")
+    return stored(source.mapInPandas(build, INDEX).sortWithinPartitions("bucket"))
 
-def unit_of(text: str) -> Unit:
-    """Japanese text counts by characters, all other by words."""
-    kana = len(_KANA.findall(text))
-    return CHARACTERS if kana * 5 > len(text) else WORDS
 
+@dataclass
+class _Row:
+    """A row of the index, decoded."""
+
+    keys: np.ndarray
+    starts: np.ndarray
+    docs: np.ndarray
+    places: np.ndarray
 
-def longest_passage(item: np.ndarray, doc: np.ndarray, diagonals: set[int], least: int) -> int:
-    """Most item tokens of a passage in doc in order and in one piece, with at most one in ten changed; 0 if there is none of `least`.
+    @staticmethod
+    def read(keys: bytes, starts: bytes, docs: bytes = b"", places: bytes = b"") -> "_Row":
+        d = np.frombuffer(docs, dtype=np.uint16)
+        return _Row(np.frombuffer(keys, dtype=np.uint64), np.frombuffer(starts, dtype=np.uint32).astype(np.int64), d, np.frombuffer(places, dtype=np.uint32 if len(places) == 4 * len(d) else np.uint16))
+
+    def of(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For sorted keys: the numbers of those that are here, and where."""
+        at = np.searchsorted(self.keys, asked)
+        there = np.flatnonzero((at < len(self.keys)) & (self.keys[np.minimum(at, len(self.keys) - 1)] == asked)) if len(self.keys) else np.zeros(0, dtype=np.int64)
+        return there, at[there]
+
+    def postings(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(number of the key, document, place) of all postings of sorted keys."""
+        which, at = self.of(asked)
+        size = self.starts[at + 1] - self.starts[at]
+        take = _ranges(self.starts[at], size)
+        return np.repeat(which, size), self.docs[take], self.places[take].astype(np.int64)
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of ranges, one after the other."""
+    if not len(sizes) or not sizes.sum():
+        return np.zeros(0, dtype=np.int64)
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1]) - np.repeat(ends - sizes - starts, sizes)
+
+
+# searching
+
+
+@dataclass
+class Items:
+    """A set of test items: their tokens as numbers of `keys`, which are sorted and of one unit each."""
+
+    ids: list[int] = field(default_factory=list)
+    units: list[Unit] = field(default_factory=list)
+    tokens: list[np.ndarray] = field(default_factory=list)
+    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.uint64))
+    size: int = 0
+
+    def add(self, item: int, text: str) -> None:
+        norm = plain(text)
+        unit = unit_of(norm)
+        own = keys_of(norm, unit)
+        # an item shorter than a passage has none
+        if len(own) >= unit.window:
+            self.ids.append(item)
+            self.units.append(unit)
+            self.tokens.append(own)
+            self.size += len(own)
+
+    def close(self) -> "Items":
+        if self.tokens:
+            self.keys = np.unique(np.concatenate(self.tokens))
+            self.tokens = [np.searchsorted(self.keys, t) for t in self.tokens]
+        return self
+
+    def rarest(self, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(token, item, place) of the rarest tokens of each stretch of an item that is as long as a passage; tokens that occur nowhere count as such, but aren't looked up."""
+        found = []
+        for item, (unit, own) in enumerate(zip(self.units, self.tokens)):
+            n = often[own]
+            # rank by rarity, ties by place
+            rank = np.argsort(np.argsort(n, kind="stable"), kind="stable")
+            stretches = np.lib.stride_tricks.sliding_window_view(rank, unit.window)
+            best = np.argpartition(stretches, unit.looked_up - 1, axis=1)[:, : unit.looked_up]
+            places = np.unique(best + np.arange(len(best))[:, None])
+            places = places[n[places] > 0]
+            found.append((own[places], np.full(len(places), item), places))
+        return tuple(np.concatenate(x).astype(np.int64) if x else np.zeros(0, dtype=np.int64) for x in (zip(*found) if found else ((), (), ())))
 
-    Runs of equal tokens near the diagonals are chained; between two runs as
-    many tokens differ as the longer gap has. A passage starts and ends with a
-    run.
+    @staticmethod
+    def sets(items: DataFrame, item_id: str, text: str, limit: int) -> Iterator["Items"]:
+        """Test items in sets of about `limit` tokens; they come one partition at a time."""
+        rows = items.select(F.col(item_id).cast("bigint").alias("id"), F.col(text).alias("text")).filter("id is not null and text is not null")
+        one = Items()
+        for r in rows.toLocalIterator():
+            one.add(r["id"], r["text"])
+            if one.size >= limit:
+                yield one.close()
+                one = Items()
+        if one.ids:
+            yield one.close()
+
+
+def longest_passage(item: np.ndarray, doc: np.ndarray, diagonals: set[int], unit: Unit) -> int:
+    """Most words (characters) of a passage of item in doc in order and in one piece, with at most one in ten changed; 0 if there is none of the least length.
+
+    Runs of equal tokens near the diagonals are chained, and longer ones on
+    other diagonals that changes allow for; between two runs as many tokens
+    differ as the longer gap has. A passage starts and ends with a run.
     """
+    near = {x for d in diagonals for x in range(d - 4, d + 5)}
+    drift = len(item) // ONE_IN
+    far = {x for d in diagonals for x in range(d - drift, d + drift + 1)} - near
     runs: set[tuple[int, int, int]] = set()
-    for d in {x for d in diagonals for x in range(d - 4, d + 5)}:
-        lo, hi = max(0, -d), min(len(item), len(doc) - d)
-        if hi - lo < 3:
-            continue
-        same = np.concatenate(([0], (item[lo:hi] == doc[lo + d : hi + d]).astype(np.int8), [0]))
-        edges = np.flatnonzero(np.diff(same))
-        runs.update((lo + int(a), lo + int(a) + d, int(b - a)) for a, b in zip(edges[::2], edges[1::2]) if b - a >= 2)
+    for some, shortest in ((near, 3 - unit.width), (far, STRETCH)):
+        for d in some:
+            lo, hi = max(0, -d), min(len(item), len(doc) - d)
+            if hi - lo < shortest:
+                continue
+            same = item[lo:hi] == doc[lo + d : hi + d]
+            if not same.any():
+                continue
+            edges = np.flatnonzero(np.diff(np.concatenate(([0], same.astype(np.int8), [0]))))
+            runs.update((lo + int(a), lo + int(a) + d, int(b - a) + unit.width - 1) for a, b in zip(edges[::2], edges[1::2]) if b - a >= shortest)
     chain = sorted(runs)
+    length = len(item) + unit.width - 1
     best = 0
     # from each run on, the fewest changes up to each later run
     for s, (i0, _, _) in enumerate(chain):
+        allowed = (length - i0) // ONE_IN
+        if length - i0 <= best:
+            break
         cost = {s: 0}
         for k in range(s, len(chain)):
             i, j, n = chain[k]
             if k not in cost:
-                if i - i0 > len(item):
-                    break
-                options = []
-                for q in cost:
+                least = allowed + 1
+                for q, spent in cost.items():
                     a, b, m = chain[q]
                     gap_i, gap_j = i - a - m, j - b - m
                     cut = max(0, -gap_i, -gap_j)
-                    if cut < n and i + cut > a and max(gap_i, gap_j) + cut <= 12:
-                        options.append(cost[q] + max(gap_i, gap_j) + cut)
-                if not options:
+                    if cut < n and i + cut > a:
+                        least = min(least, spent + max(gap_i, gap_j) + cut)
+                if least > allowed:
                     continue
-                cost[k] = min(options)
+                cost[k] = least
             span = i + n - i0
             if span > best and cost[k] * ONE_IN <= span:
                 best = span
-    return best if best >= least else 0
+    return best if best >= unit.least else 0
+
+
+def _candidates(postings: tuple, asked: tuple, starts: np.ndarray, items: Items) -> dict[tuple[int, int], set[int]]:
+    """(document, item) with the diagonals on which as many of the asked tokens meet as a passage has."""
+    token, doc, place = postings
+    order = np.argsort(doc, kind="stable")
+    token, doc, place = token[order], doc[order], place[order]
+    sizes = starts[token + 1] - starts[token]
+    total = np.cumsum(sizes)
+    surely = np.array([u.surely for u in items.units])
+    found: dict[tuple[int, int], set[int]] = {}
+    a = 0
+    while a < len(doc):
+        # whole documents, up to the bound or at least one
+        b = int(np.searchsorted(total, (total[a - 1] if a else 0) + CHUNK, side="right"))
+        b = int(np.searchsorted(doc, doc[max(a, b - 1)], side="left")) if b < len(doc) else len(doc)
+        if b <= a:
+            b = int(np.searchsorted(doc, doc[a], side="right"))
+        at = _ranges(starts[token[a:b]], sizes[a:b])
+        d = np.repeat(doc[a:b], sizes[a:b]).astype(np.int64)
+        i, p = asked[1][at], asked[2][at]
+        diagonal = np.repeat(place[a:b], sizes[a:b]) - p
+        a = b
+        if not len(d):
+            continue
+        pair = (d - d[0]) * len(items.ids) + i
+        often = np.bincount(pair) if pair.max() < 200_000_000 else None
+        if often is not None:
+            keep = often[pair] >= surely[i]
+            d, i, p, diagonal = d[keep], i[keep], p[keep], diagonal[keep]
+        for shift in (0, BAND // 2):
+            band = (diagonal + shift) // BAND
+            order = np.lexsort((p, band, i, d))
+            key = np.stack((d[order], i[order], band[order]))
+            new = np.ones(len(order), dtype=bool)
+            new[1:] = (key[:, 1:] != key[:, :-1]).any(axis=0)
+            first = np.flatnonzero(new)
+            fresh = new.copy()
+            fresh[1:] |= p[order][1:] != p[order][:-1]
+            if not len(first):
+                continue
+            n = np.add.reduceat(fresh.astype(np.int64), first)
+            ends = np.append(first[1:], len(order))
+            for g in np.flatnonzero(n >= surely[key[1, first]]):
+                own = found.setdefault((int(key[0, first[g]]), int(key[1, first[g]])), set())
+                own.update(np.unique(diagonal[order[first[g] : ends[g]]]).tolist())
+    return found
 
 
-@dataclass
-class Items:
-    """The query set, cut into tokens, with the terms of all of it."""
+def search(index: DataFrame, items: DataFrame, item_id: str, text: str) -> DataFrame:
+    """(id, item, n) of documents of an index with the items that they contain a passage of, and its length."""
+    found = None
+    for one in Items.sets(items, item_id, text, ITEM_TOKENS):
+        part = _search(index, one)
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        return index.sparkSession.createDataFrame([], "id bigint, item bigint, n int")
+    return found.groupBy("id", "item").agg(F.max("n").alias("n"))
 
-    ids: list[int]
-    units: list[Unit]
-    tokens: list
-    places: dict[str, dict]
 
-    @staticmethod
-    def read(items: DataFrame, item_id: str, text: str) -> "Items":
-        rows = items.select(F.col(item_id).alias("id"), F.col(text).alias("text")).filter("id is not null and text is not null").orderBy("id").limit(MAX_ITEMS + 1).collect()
-        if len(rows) > MAX_ITEMS:
-            raise ValueError(f"more than {MAX_ITEMS} test items; search them in blocks")
-        ids, units, cut = [], [], []
-        places: dict[str, dict] = {"words": {}, "characters": {}}
-        for r in rows:
-            norm = plain(r["text"])
-            unit = unit_of(norm)
-            t = tokens(norm, unit)
-            for k in range(len(t) - unit.term + 1):
-                places[unit.name].setdefault(tuple(t[k : k + unit.term]) if unit == WORDS else t[k : k + unit.term], []).append((len(ids), k))
-            ids.append(r["id"])
-            units.append(unit)
-            cut.append(t)
-        return Items(ids, units, cut, places)
-
-
-def _hits(text: str, items: Items, numbers: dict[str, dict]) -> list[tuple[int, int]]:
-    """(term number, place) of all test terms in text."""
-    found = []
-    if numbers["words"]:
-        w = words(text)
-        terms = numbers["words"]
-        found += [(terms[t], k) for k, t in enumerate(zip(w, w[1:], w[2:], w[3:])) if t in terms]
-    if numbers["characters"] and _KANA.search(text):
-        c = characters(text)
-        terms, n = numbers["characters"], CHARACTERS.term
-        found += [(terms[t], k) for k, t in ((k, c[k : k + n]) for k in range(len(c) - n + 1)) if t in terms]
-    return found
+def _search(index: DataFrame, items: Items) -> DataFrame:
+    sc = index.sparkSession.sparkContext
+    buckets = sorted({int(b) for b in np.unique(items.keys >> np.uint64(64 - BUCKET_BITS))})
+    rows = index.filter(F.col("bucket").isin(buckets))
+    # of a size that ITEM_TOKENS bounds
+    shared = sc.broadcast(items)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys = shared.value.keys
+        often = np.zeros(len(keys), dtype=np.int64)
+        for b in batches:
+            for k, s in zip(b["keys"], b["starts"]):
+                row = _Row.read(k, s)
+                which, at = row.of(keys)
+                often[which] += row.starts[at + 1] - row.starts[at]
+        there = np.flatnonzero(often)
+        yield pd.DataFrame({"token": there, "n": often[there]})
+
+    # of the index only the tokens are read here, not their places; the result is a row per token of the items
+    often = np.zeros(len(items.keys), dtype=np.int64)
+    for r in rows.select("keys", "starts").mapInPandas(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")).collect():
+        often[r["token"]] = r["n"]
+    asked = items.rarest(often)
+    order = np.argsort(asked[0], kind="stable")
+    asked = tuple(x[order] for x in asked)
+    starts = np.searchsorted(asked[0], np.arange(len(items.keys) + 1))
+    wanted = sc.broadcast((asked, starts, np.unique(asked[0])))
+
+    def slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Postings of the rarest tokens."""
+        rare = wanted.value[2]
+        keys = shared.value.keys[rare]
+        for b in batches:
+            out = []
+            for block, k, s, d, p in zip(b["block"], b["keys"], b["starts"], b["docs"], b["places"]):
+                which, docs, places = _Row.read(k, s, d, p).postings(keys)
+                if len(which):
+                    out.append((block, rare[which].astype(np.int32).tobytes(), docs.tobytes(), places.astype(np.uint32).tobytes()))
+            yield pd.DataFrame(out, columns=["block", "tokens", "docs", "places"])
+
+    def meet(group: pd.DataFrame) -> pd.DataFrame:
+        postings = _joined(group)
+        met = _candidates(postings, wanted.value[0], wanted.value[1], shared.value)
+        return pd.DataFrame([(group["block"].iloc[0], d, i, sorted(x)) for (d, i), x in met.items()], columns=["block", "doc", "item", "diagonals"])
+
+    sliced = "block bigint, tokens binary, docs binary, places binary"
+    near = stored(rows.select("block", "keys", "starts", "docs", "places").mapInPandas(slices, sliced).groupBy("block").applyInPandas(meet, "block bigint, doc int, item int, diagonals array<int>"))
+    # all tokens of the items in the candidates, from the index again
+    per_block = near.groupBy("block").agg(F.collect_set("doc").alias("asked"))
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys = shared.value.keys
+        for b in batches:
+            out = []
+            for block, bucket, k, s, d, p, docs_asked in zip(b["block"], b["bucket"], b["keys"], b["starts"], b["docs"], b["places"], b["asked"]):
+                if bucket < 0:
+                    out.append((block, None, d, None))
+                    continue
+                which, docs, places = _Row.read(k, s, d, p).postings(keys)
+                keep = np.isin(docs, np.asarray(docs_asked, dtype=np.uint16))
+                if keep.any():
+                    out.append((block, which[keep].astype(np.int32).tobytes(), docs[keep].tobytes(), places[keep].astype(np.uint32).tobytes()))
+            yield pd.DataFrame(out, columns=["block", "tokens", "docs", "places"])
+
+    def align(group: pd.DataFrame, cases: pd.DataFrame) -> pd.DataFrame:
+        query = shared.value
+        ids = np.frombuffer(group["docs"][group["tokens"].isna()].iloc[0], dtype=np.int64)
+        token, doc, place = _joined(group[group["tokens"].notna()])
+        order = np.argsort(doc, kind="stable")
+        token, doc, place = token[order], doc[order], place[order]
+        of_unit = np.zeros(len(query.keys), dtype=bool)
+        for unit, own in zip(query.units, query.tokens):
+            if unit == CHARACTERS:
+                of_unit[own] = True
+        out = []
+        for d, its in cases.groupby("doc"):
+            a, b = np.searchsorted(doc, [d, d + 1])
+            texts = {}
+            for unit in (WORDS, CHARACTERS):
+                own = of_unit[token[a:b]] == (unit == CHARACTERS)
+                t, p = token[a:b][own], place[a:b][own]
+                line = np.full(int(p.max()) + 1 if len(p) else 0, -1, dtype=np.int64)
+                line[p] = t
+                texts[unit.name] = line
+            for item, diagonals in zip(its["item"], its["diagonals"]):
+                unit = query.units[item]
+                n = longest_passage(query.tokens[item], texts[unit.name], set(map(int, diagonals)), unit)
+                if n:
+                    out.append((ids[d], query.ids[item], n))
+        return pd.DataFrame(out, columns=["id", "item", "n"])
 
+    full = index.filter(F.col("bucket").isin([-1, *buckets])).join(per_block, "block").mapInPandas(whole, sliced)
+    cases = near.select(F.col("block").alias("of"), "doc", "item", "diagonals")
+    return full.groupBy("block").cogroup(cases.groupBy("of")).applyInPandas(align, "id bigint, item bigint, n int")
 
-def _near_a_diagonal(found: list[tuple[int, int]], places: list[list[tuple[int, int]]], units: list[Unit]) -> bool:
-    """Whether as many places of an item fall into one band of diagonals as a passage has whole terms."""
-    bands: dict[tuple[int, int], set[int]] = {}
-    for t, k in found:
-        for item, p in places[t]:
-            for b in ((k - p) // 16 * 2, (k - p + 8) // 16 * 2 + 1):
-                own = bands.setdefault((item, b), set())
-                own.add(p)
-                if len(own) >= units[item].whole:
-                    return True
-    return False
+
+def _joined(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(token, document, place) of slices, one after the other."""
+    kinds = {"tokens": np.int32, "docs": np.uint16, "places": np.uint32}
+    return tuple(np.concatenate([np.frombuffer(x, dtype=t) for x in group[c]]).astype(np.int64) if len(group) else np.zeros(0, dtype=np.int64) for c, t in kinds.items())
 
 
 def leaked_items(documents: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str) -> DataFrame:
     """Documents that contain a passage of a test item, each with the item.
 
-    A passage has at least 20 words (Japanese: 60 characters) of the item in
-    order and in one piece, where up to one in ten may be changed, added or
-    dropped. Case, punctuation, spacing, line breaks, character forms and inline
-    markup don't matter. Whole texts are searched, whatever their length.
+    A passage has at least 20 words (in scripts without spaces 60 characters) of
+    the item in order and in one piece, where up to one in ten may be changed,
+    added or dropped. Case, punctuation, spacing, line breaks, character forms
+    and inline markup don't matter. Whole texts are searched, whatever their
+    length.
 
     Null texts and items, and items shorter than a passage, give no rows; items
     of equal text are found each; documents of equal text are found each by
@@ -208,71 +540,5 @@ def leaked_items(documents: DataFrame, doc_id: str, text: str, items: DataFrame,
 
     Returns doc_id, item_id, n_tokens (the longest passage).
     """
-    spark = documents.sparkSession
-    query = Items.read(items, item_id, item_text)
-    numbers: dict[str, dict] = {}
-    places: list[list[tuple[int, int]]] = []
-    for name, terms in query.places.items():
-        numbers[name] = {}
-        for t, where in terms.items():
-            numbers[name][t] = len(places)
-            places.append(where)
-    sure = min(WORDS.surely, CHARACTERS.surely)
-
-    def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Places of test terms; the text goes along where as many fall near one diagonal of an item as any passage has."""
-        for b in batches:
-            ids, terms, at, kept = [], [], [], []
-            for i, raw in zip(b["id"], b["text"]):
-                if not raw:
-                    continue
-                norm = plain(raw)
-                found = _hits(norm, query, numbers)
-                if len(found) < sure:
-                    continue
-                ids.append(i)
-                terms.append([t for t, _ in found])
-                at.append([k for _, k in found])
-                kept.append(norm if _near_a_diagonal(found, places, query.units) else None)
-            yield pd.DataFrame({"id": pd.Series(ids, dtype="int64"), **{c: pd.Series(v, dtype=object) for c, v in (("terms", terms), ("places", at), ("norm", kept))}})
-
-    source = documents.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter("id is not null and text is not null")
-    postings = stored(source.mapInPandas(index, "id bigint, terms array<int>, places array<int>, norm string"))
-    # how often each test term occurs: a row per term of the query set
-    counted = postings.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n"))
-    often = {r["term"]: r["n"] for r in counted.collect()}
-
-    # each stretch of an item is looked up by its rarest terms
-    asked: set[tuple[int, int, int]] = set()
-    for item, (unit, t) in enumerate(zip(query.units, query.tokens)):
-        n = len(t) - unit.term + 1
-        own = [numbers[unit.name][tuple(t[k : k + unit.term]) if unit == WORDS else t[k : k + unit.term]] for k in range(max(0, n))]
-        width = unit.least - unit.term + 1
-        for s in range(0, n - width + 1):
-            rarest = sorted(range(s, s + width), key=lambda k: (often.get(own[k], 0), k))[: unit.looked_up]
-            asked.update((own[k], item, k) for k in rarest)
-    lookup = spark.createDataFrame(sorted(a for a in asked if a[0] in often), "term int, item int, at int")
-
-    # lists of places, shifted by the place in the item, intersect where they share a band of diagonals
-    spots = postings.select("id", F.explode(F.arrays_zip("terms", "places")).alias("p")).select("id", F.col("p.terms").alias("term"), F.col("p.places").alias("place"))
-    crossed = spots.join(F.broadcast(lookup), "term").select("id", "item", (F.col("place") - F.col("at")).alias("diagonal"), "at")
-    banded = crossed.select("id", "item", "diagonal", "at", F.explode(F.array(F.floor(F.col("diagonal") / 16), F.floor((F.col("diagonal") + 8) / 16) + F.lit(1 << 40))).alias("band"))
-    near = banded.groupBy("id", "item", "band").agg(F.count_distinct("at").alias("n"), F.collect_set("diagonal").alias("diagonals")).filter(F.col("n") >= sure)
-    near = near.groupBy("id", "item").agg(F.array_distinct(F.flatten(F.collect_list("diagonals"))).alias("diagonals"))
-
-    def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            ids, found, lengths = [], [], []
-            for i, item, norm, diagonals in zip(b["id"], b["item"], b["norm"], b["diagonals"]):
-                unit, own = query.units[item], query.tokens[item]
-                cut = tokens(norm, unit)
-                code = {t: n for n, t in enumerate(dict.fromkeys([*own, *cut]))}
-                n = longest_passage(np.array([code[t] for t in own]), np.array([code[t] for t in cut]), set(map(int, diagonals)), unit.least)
-                if n:
-                    ids.append(i)
-                    found.append(query.ids[item])
-                    lengths.append(n)
-            yield pd.DataFrame({"id": ids, "item": found, "n": lengths})
-
-    aligned = near.join(postings.filter("norm is not null").select("id", "norm"), "id").mapInPandas(align, "id bigint, item bigint, n int")
-    return aligned.groupBy("id", "item").agg(F.max("n").alias("n")).select(F.col("id").alias(doc_id), F.col("item").alias(item_id), F.col("n").alias("n_tokens"))
+    found = search(build_index(documents, doc_id, text), items, item_id, item_text)
+    return found.select(F.col("id").alias(doc_id), F.col("item").alias(item_id), F.col("n").alias("n_tokens"))
