@@ -12,6 +12,7 @@ only those reach Python.
 from __future__ import annotations
 
 import re
+import unicodedata as ud
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -19,12 +20,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: layers of wrong decoding that are taken off at most
-MAX_LAYERS = 4
 # Single-byte encodings that UTF-8 is wrongly decoded with.
-SINGLE_BYTE = ["cp1252", "mac_roman", "cp437", "cp850", "cp1251"]
-# Multi-byte encodings that are wrongly decoded as a Western one, with the characters that their text is made of.
-MULTI_BYTE = {"cp949": "가-힣", "cp932": "ぁ-ゖァ-ヺー", "euc_jp": "ぁ-ゖァ-ヺー", "gbk": "的一是了不在人有我他这中大来上个国到说们为子和你地出道也时年得就那要下以生会自着去之过家学对可她里后"}
+SINGLE_BYTE = ["cp1252", "mac_roman", "cp437", "cp850", "cp1250", "cp1251", "koi8_r"]
+# Multi-byte encodings that are wrongly decoded as a Western one.
+MULTI_BYTE = ["cp949", "cp932", "euc_jp", "gbk", "big5"]
+# First bytes of the common characters of Chinese encodings, which list them before the rare ones.
+COMMON_HAN = {"gbk": ("gb2312", 0xB0, 0xD7), "big5": ("big5", 0xA4, 0xC6)}
+#: fewer characters in runs are no evidence for a Chinese encoding
+LEAST_HAN = 8
+# Cyrillic encodings that are wrongly decoded as a Western one, and the commonest letters of their text.
+CYRILLIC = ["cp1251", "koi8_r"]
+COMMON_CYRILLIC = "оеаинтсрвлкмдпуяызбгчй"
 # Multi-byte encodings that UTF-8 is wrongly decoded with.
 WIDE = ["cp949", "cp932", "gbk"]
 #: what may be garbled: lost characters, C1 controls, symbols and accented letters side by side, Cyrillic letters before symbols or letters rare in Russian, Hanja among Hangul, kanji typical of UTF-8 read as Shift JIS
@@ -65,7 +71,7 @@ def _class(encoding: str, low: int, high: int) -> str:
 def _utf8_in(encoding: str) -> re.Pattern:
     """Runs of characters whose bytes are sequences of UTF-8 beyond ASCII."""
     tail = _class(encoding, 0x80, 0xBF)
-    return re.compile(f"(?:{_class(encoding, 0xC2, 0xDF)}{tail}|{_class(encoding, 0xE1, 0xEF)}{tail}{{2}}|{_class(encoding, 0xF0, 0xF4)}{tail}{{3}})+")
+    return re.compile(f"(?:{_class(encoding, 0xC2, 0xDF)}{tail}|{_class(encoding, 0xE0, 0xE0)}{_class(encoding, 0xA0, 0xBF)}{tail}|{_class(encoding, 0xE1, 0xEF)}{tail}{{2}}|{_class(encoding, 0xF0, 0xF4)}{tail}{{3}})+")
 
 
 def _encode(text: str, encoding: str) -> bytes | None:
@@ -96,20 +102,30 @@ def _plausible(char: str) -> bool:
     )
 
 
+def _scripts(text: str) -> set[int]:
+    """Blocks of which text has three different letters or more, beyond those of the domain; marks count to their letters."""
+    found: dict[int, int] = {}
+    for c in set(text):
+        if not _plausible(c) and ud.category(c)[0] in "LM":
+            found[ord(c) >> 7] = found.get(ord(c) >> 7, 0) + 1
+    return {b for b, n in found.items() if n > 2}
+
+
 def _undo_utf8(text: str, encoding: str) -> tuple[str, int]:
     """Text with UTF-8 in disguise decoded, and how many of its characters that took."""
     taken = 0
+    scripts = _scripts("".join(_encode(x, encoding).decode("utf-8", "replace") for x in _utf8_in(encoding).findall(text)))
 
     def decode(m: re.Match) -> str:
         nonlocal taken
         raw = _encode(m.group(), encoding)
         out = raw.decode("utf-8", "replace")
-        if encoding == "cp1251" and re.search("[А-яёЁ]", text[max(0, m.start() - 1) : m.start()] + text[m.end() : m.end() + 1]):
+        if encoding in CYRILLIC and re.search("[А-яёЁ]", text[max(0, m.start() - 1) : m.start()] + text[m.end() : m.end() + 1]):
             return m.group()  # part of a Cyrillic word
-        if not all(_plausible(c) or "Ͱ" <= c <= "ӿ" and len(out) > 1 or "\x80" <= c <= "\x9f" for c in out):
+        if not all(_plausible(c) or "Ͱ" <= c <= "ӿ" and len(out) > 1 or "\x80" <= c <= "\x9f" or ord(c) >> 7 in scripts and ud.category(c)[0] in "LMNP" for c in out):
             return m.group()
         # a lone pair is evidence for the commonest letters only; in other encodings it may be a drawing or quoted letter
-        if encoding != "cp1252" and len(raw) == 2 and raw[0] not in ((0xC2, 0xC3, 0xC4, 0xC5) if encoding == "mac_roman" else (0xC2, 0xC3)):
+        if encoding != "cp1252" and len(raw) == 2 and raw[0] not in ((0xC2, 0xC3, 0xC4, 0xC5) if encoding in ("mac_roman", "cp1250") else (0xC2, 0xC3)):
             return m.group()
         taken += len(m.group())
         return out
@@ -117,9 +133,19 @@ def _undo_utf8(text: str, encoding: str) -> tuple[str, int]:
     return _utf8_in(encoding).sub(decode, text), taken
 
 
-def _share(text: str, letters: str) -> tuple[int, int]:
-    """Characters of a script and all characters beyond ASCII."""
-    return len(re.findall(f"[{letters}]", text)), sum(c > "\x7f" for c in text)
+@lru_cache(maxsize=50_000)
+def _own(char: str, encoding: str) -> bool:
+    """Whether text in a multi-byte encoding is made of such characters."""
+    if encoding == "cp949":
+        return "가" <= char <= "힣"
+    if encoding in COMMON_HAN:
+        name, low, high = COMMON_HAN[encoding]
+        try:
+            raw = char.encode(name)
+        except UnicodeEncodeError:
+            return False
+        return len(raw) == 2 and low <= raw[0] <= high
+    return "ぁ" <= char <= "ゖ" or "ァ" <= char <= "ヺ" or char == "ー"
 
 
 @lru_cache(maxsize=None)
@@ -147,16 +173,34 @@ def _weight(char: str) -> tuple[float, float, float]:
     return 0.5, 1.2, 1.2
 
 
+@lru_cache(maxsize=50_000)
+def _letter_block(char: str) -> int:
+    """Block of a letter or mark of an alphabet beyond Latin; 0 for any other character."""
+    o = ord(char)
+    return o >> 7 if 0x370 <= o < 0x1100 and ud.category(char)[0] in "LM" or 0x1780 <= o < 0x1880 else 0
+
+
 def _cost(text: str) -> float:
-    """Cost of garbling: how ill characters stand side by side, a mean over those beyond ASCII."""
-    total, n, state = 0.0, 0, 0
+    """Cost of garbling: how ill characters stand side by side, a mean over those beyond ASCII.
+
+    Letters of one alphabet beyond Latin stand well together, but for a capital
+    after a small one.
+    """
+    total, n, state, before = 0.0, 0, 0, ""
     for c in text:
         if c <= "\x7f":
             state = 0
         else:
             n += 1
-            total += _weight(c)[state]
+            block = _letter_block(c)
+            if block and block == _letter_block(before or " ") and not (c.isupper() and before.islower()):
+                total += 0.1
+            elif block and not state:
+                total += 0.3
+            else:
+                total += _weight(c)[state]
             state = 2 if "가" <= c <= "힣" else 1
+        before = c
     return total / n if n else 0.0
 
 
@@ -169,10 +213,10 @@ def _western_runs() -> re.Pattern:
     return re.compile(_class("cp1252", 0, 255) + "+")
 
 
-def _undo_multi(line: str) -> tuple[str, str] | None:
-    """Korean or Japanese bytes read as Western text, line by line or in stretches of one: (restored, encoding)."""
+def _undo_multi(line: str, encodings: list[str]) -> tuple[str, str] | None:
+    """Korean, Japanese or Chinese bytes read as Western text, line by line or in stretches of one: (restored, encoding)."""
     best = None
-    for encoding, letters in MULTI_BYTE.items():
+    for encoding in encodings:
         done = 0
 
         def decode(m: re.Match) -> str:
@@ -181,8 +225,10 @@ def _undo_multi(line: str) -> tuple[str, str] | None:
             if sum(c > "\x7f" for c in run) < 4:
                 return run
             text = _encode(run, "cp1252").decode(encoding, "replace")
-            own, beyond = _share(text, letters)
+            own, beyond = sum(_own(c, encoding) for c in text if c > "\x7f"), sum(c > "\x7f" for c in text)
             marks = text.count("·") + (len(re.findall("[一-鿿々、。「」・：]", text)) if encoding != "cp949" else len(re.findall("[“”‘’「」…]", text)))
+            if encoding in COMMON_HAN and re.search("[ぁ-ゖァ-ヺ]", text):
+                return run  # Chinese has no kana
             if own >= 2 and own + marks >= 0.7 * beyond and text.count("\ufffd") <= 0.15 * beyond + 0.5 and _cost(text) + 0.2 < _cost(run):
                 done += own
                 return text
@@ -198,6 +244,27 @@ def _undo_multi(line: str) -> tuple[str, str] | None:
     return best and best[1:]
 
 
+#: four or more accented Western letters in a row
+_ACCENTED = re.compile("[À-ÿ¨¸£³]{4,}(?:[\\s,.!?;:-]+[À-ÿ¨¸£³]+)*")
+
+
+def _undo_cyrillic(line: str) -> tuple[str, str] | None:
+    """Cyrillic bytes read as Western text: (restored, encoding). Western words don't have four accented letters in a row; the encoding is the one that gives common small letters."""
+    runs = _ACCENTED.findall(line)
+    if sum(c > "\x7f" for r in runs for c in r) < 0.8 * sum(c > "\x7f" for c in line) or not runs:
+        return None
+    best = None
+    for encoding in CYRILLIC:
+        told = "".join(_encode(r, "cp1252").decode(encoding, "replace") for r in runs)
+        letters = [c for c in told if c.isalpha()]
+        score = sum(c in COMMON_CYRILLIC for c in letters) / max(1, len(letters))
+        if score >= 0.6 and all("Ѐ" <= c <= "ӿ" for c in letters) and (best is None or score > best[0]):
+            best = (score, encoding)
+    if best is None:
+        return None
+    return _ACCENTED.sub(lambda m: _encode(m.group(), "cp1252").decode(best[1], "replace"), line), best[1]
+
+
 def _undo_wide(line: str) -> tuple[str, str] | None:
     """A line of UTF-8 read as a Korean, Japanese or Chinese encoding, maybe with lost characters: (restored as far as possible, encoding)."""
     lossy = "�" in line
@@ -216,7 +283,19 @@ def _undo_wide(line: str) -> tuple[str, str] | None:
     return best and best[1:]
 
 
-def _options(line: str) -> list[tuple[str, str]]:
+def _encodings_of(text: str) -> list[str]:
+    """Multi-byte encodings that lines of text may be in. A few bytes read well in many, so Chinese, which any two bytes may be, is tried only where it reads best for the text as a whole."""
+    best = _undo_multi(text, MULTI_BYTE)
+    chinese = best[1] if best is not None and best[1] in COMMON_HAN else None
+    if chinese is not None:
+        # Chinese stands in runs, and a text has some of it
+        together = sum(map(len, re.findall("[一-鿿]{2,}", best[0])))
+        if together < LEAST_HAN or together < 0.6 * len(re.findall("[一-鿿]", best[0])):
+            chinese = None
+    return [e for e in MULTI_BYTE if e not in COMMON_HAN or e == chinese]
+
+
+def _options(line: str, encodings: list[str]) -> list[tuple[str, str]]:
     """What a line may have been before one wrong decoding: (text, name of the decoding)."""
     found = []
     beyond = sum(c > "\x7f" for c in line)
@@ -227,7 +306,11 @@ def _options(line: str) -> list[tuple[str, str]]:
             return [(fixed, f"utf-8 as {encoding}")] if fixed != line else []
         if taken and fixed not in (f for f, _ in found):
             found.append((fixed, f"utf-8 as {encoding}"))
-    multi = _undo_multi(line)
+        if encoding == "cp1252":
+            cyrillic = _undo_cyrillic(line)
+            if cyrillic is not None:
+                return [(cyrillic[0], f"{cyrillic[1]} as cp1252")]
+    multi = _undo_multi(line, encodings)
     if multi is not None:
         found.append((multi[0], f"{multi[1]} as cp1252"))
     if re.search("[�가-힣縺繧繝一-鿿]", line):
@@ -237,14 +320,26 @@ def _options(line: str) -> list[tuple[str, str]]:
     return [(t, n) for t, n in found if t != line]
 
 
-def _best(line: str, layers: int) -> tuple[float, str, list[str]]:
-    """The cheapest text that round trips lead to from line: (cost, text, decodings undone)."""
+def _best(line: str, encodings: list[str]) -> tuple[float, str, list[str]]:
+    """The cheapest text that round trips lead to from line, through any number of layers: (cost, text, decodings undone).
+
+    Each trip makes the text shorter or is the last of its kind, so there is an end.
+    """
     best = (_cost(line), line, [])
-    if layers and not line.isascii():
-        for fixed, name in _options(line):
-            cost, text, undone = _best(fixed, layers - 1)
+    seen, waiting = {line}, [(line, [])]
+    while waiting:
+        text, undone = waiting.pop()
+        if text.isascii():
+            continue
+        for fixed, name in _options(text, encodings):
+            if fixed in seen:
+                continue
+            seen.add(fixed)
+            names, cost = [*undone, name], _cost(fixed)
             if cost < best[0] or (name == "cp949 as cp1252" and not best[2]):
-                best = (cost, text, [name, *undone])
+                best = (cost, fixed, names)
+            if len(fixed) < len(text):
+                waiting.append((fixed, names))
     return best
 
 
@@ -252,10 +347,11 @@ def repair(text: str) -> tuple[str, list[str], bool]:
     """(text as far as restored, decodings undone from the outermost, whether all was restored)."""
     undone: list[str] = []
     lines = text.split("\n")
-    for n, line in enumerate(lines):
-        if not line.isascii() and _SUSPECT.search(line):
-            _, lines[n], names = _best(line, MAX_LAYERS)
-            undone += [x for x in names if names.count(x) > undone.count(x)]
+    suspect = [n for n, line in enumerate(lines) if not line.isascii() and _SUSPECT.search(line)]
+    encodings = _encodings_of("\n".join(lines[n] for n in suspect)) if suspect else []
+    for n in suspect:
+        _, lines[n], names = _best(lines[n], encodings)
+        undone += [x for x in names if names.count(x) > undone.count(x)]
     fixed = "\n".join(lines)
     if not undone and re.search("[�\x80-\x84\x86-\x9f]", fixed):
         # garbled for sure, but by no decoding that is known here

@@ -29,6 +29,27 @@ ROUND = [
 ]
 CLEAN = ["", "plain", KO, JA, EN, FR, DE, "@señor91 «¡!»", "— Вера_90 😀", "├─ 1 ─┤ ╔══╗", "縺れた糸", "ﾅﾆ!? €€€ ★★★☆ (╯°□°)╯", "Âme Ç57elik ÃO66 Øresund", "1×2÷3 °C ± ½ √ OK", "ｌｅｇｉｏｎ", "Ångström ÄÖÜß22 naïve", "@濡沫11 왕실의 허락을", "Гёте живёт «в Риге» – № 5", "É»"]
 
+RU, PL = "Привет, мир, это обычный текст о погоде", "Zażółć gęślą jaźń, proszę wybrać łódź"
+ZH, TW = "今天我们来说说这个游戏的故事，大家都很喜欢", "今天我們來說說這個遊戲的故事，大家都很喜歡"
+FAR = ["مرحبا بالعالم هذا نص", "שלום עולם זה טקסט", "สวัสดีชาวโลก", "नमस्ते दुनिया", "Καλημέρα κόσμε", "გამარჯობა მსოფლიო", RU]
+ROUND += [(t, lambda t: t.encode().decode("latin-1")) for t in FAR]
+ROUND += [
+    (PL, lambda t: sloppy(t.encode())),
+    (PL, lambda t: "".join(bytes([b]).decode("cp1250", "ignore") or chr(b) for b in t.encode())),
+    (RU, lambda t: t.encode("cp1251").decode("latin-1")),
+    (RU, lambda t: t.encode("koi8_r").decode("latin-1")),
+    (ZH, lambda t: t.encode("gbk").decode("latin-1")),
+    (TW, lambda t: t.encode("big5").decode("latin-1")),
+]
+CLEAN += [*FAR, PL, ZH, TW]
+
+
+def test_any_number_of_layers():
+    text = broken = "Café é über – naïve “quoted” tradition"
+    for _ in range(8):
+        broken = broken.encode().decode("latin-1")
+        assert repair(broken)[0] == text
+
 
 @pytest.mark.parametrize("n", range(len(ROUND)))
 def test_exact_round_trip(n):
