@@ -50,28 +50,34 @@ STRETCH = 5
 
 @dataclass(frozen=True)
 class Unit:
-    """How texts are cut and matched: least length of a passage, length of a token, rarest tokens looked up in a passage."""
+    """How texts are cut and matched: least length of a passage, length of a token, rarest tokens looked up in a stretch of that length, changes that the best stretch of a passage may have."""
 
     name: str
     least: int
     width: int
     looked_up: int
+    changes: int
 
     @property
     def surely(self) -> int:
-        """Tokens looked up that stay whole in any passage: each change breaks at most `width` of them."""
-        return self.looked_up - self.width * (self.least // ONE_IN)
+        """Tokens looked up that stay whole in the best stretch of any passage: each change breaks at most `width` of them."""
+        return self.looked_up - self.width * self.changes
 
     @property
     def window(self) -> int:
         """Tokens of the least passage."""
         return self.least - self.width + 1
 
+    @property
+    def whole(self) -> int:
+        """Tokens of any kind that stay whole in the best stretch of any passage."""
+        return self.window - self.width * self.changes
+
 
-#: two changes in 20 words break two of the 6 rarest
-WORDS = Unit("words", 20, 1, 6)
-#: six changes in 60 characters break 12 of the 20 rarest pairs
-CHARACTERS = Unit("characters", 60, 2, 20)
+#: a passage of 20 words has two changes, one of 30 may have three in its middle, which no stretch of 20 avoids; longer ones have a better stretch
+WORDS = Unit("words", 20, 1, 10, 3)
+#: six changes in 60 characters, nine in 90, each in two pairs
+CHARACTERS = Unit("characters", 60, 2, 34, 9)
 
 # Scripts without spaces between words: Thai, Lao, Tibetan, Burmese, Khmer, kana, Han.
 _UNSPACED = re.compile("[ก-๛ກ-ໟༀ-࿿က-႟ក-៿ぁ-ゖァ-ヺ㐀-䶿一-鿿\U00020000-\U0003134f]")
@@ -325,6 +331,15 @@ def longest_passage(item: np.ndarray, doc: np.ndarray, diagonals: set[int], unit
     near = {x for d in diagonals for x in range(d - 4, d + 5)}
     drift = len(item) // ONE_IN
     far = {x for d in diagonals for x in range(d - drift, d + drift + 1)} - near
+    # a stretch with enough equal tokens near the diagonals comes first: few candidates have one
+    equal = np.zeros(len(item), dtype=bool)
+    for d in near:
+        lo, hi = max(0, -d), min(len(item), len(doc) - d)
+        if hi > lo:
+            equal[lo:hi] |= item[lo:hi] == doc[lo + d : hi + d]
+    sums = np.concatenate(([0], np.cumsum(equal)))
+    if len(item) < unit.window or (sums[unit.window :] - sums[: -unit.window]).max() < unit.whole:
+        return 0
     runs: set[tuple[int, int, int]] = set()
     for some, shortest in ((near, 3 - unit.width), (far, STRETCH)):
         for d in some:
@@ -364,15 +379,15 @@ def longest_passage(item: np.ndarray, doc: np.ndarray, diagonals: set[int], unit
     return best if best >= unit.least else 0
 
 
-def _candidates(postings: tuple, asked: tuple, starts: np.ndarray, items: Items) -> dict[tuple[int, int], set[int]]:
-    """(document, item) with the diagonals on which as many of the asked tokens meet as a passage has."""
+def _candidates(postings: tuple, asked: tuple, starts: np.ndarray, items: Items) -> list[tuple[int, int, list[int]]]:
+    """(document, item, diagonals) where as many of the asked tokens meet on a diagonal as a passage has."""
     token, doc, place = postings
     order = np.argsort(doc, kind="stable")
     token, doc, place = token[order], doc[order], place[order]
     sizes = starts[token + 1] - starts[token]
     total = np.cumsum(sizes)
     surely = np.array([u.surely for u in items.units])
-    found: dict[tuple[int, int], set[int]] = {}
+    found: list[np.ndarray] = []
     a = 0
     while a < len(doc):
         # whole documents, up to the bound or at least one
@@ -381,34 +396,38 @@ def _candidates(postings: tuple, asked: tuple, starts: np.ndarray, items: Items)
         if b <= a:
             b = int(np.searchsorted(doc, doc[a], side="right"))
         at = _ranges(starts[token[a:b]], sizes[a:b])
-        d = np.repeat(doc[a:b], sizes[a:b]).astype(np.int64)
-        i, p = asked[1][at], asked[2][at]
-        diagonal = np.repeat(place[a:b], sizes[a:b]) - p
+        met = np.stack((np.repeat(doc[a:b], sizes[a:b]), asked[1][at], np.repeat(place[a:b], sizes[a:b]) - asked[2][at]))
+        found += [x for shift in (0, BAND // 2) for x in _bands(met, asked[2][at], shift, surely)]
         a = b
-        if not len(d):
-            continue
-        pair = (d - d[0]) * len(items.ids) + i
-        often = np.bincount(pair) if pair.max() < 200_000_000 else None
-        if often is not None:
-            keep = often[pair] >= surely[i]
-            d, i, p, diagonal = d[keep], i[keep], p[keep], diagonal[keep]
-        for shift in (0, BAND // 2):
-            band = (diagonal + shift) // BAND
-            order = np.lexsort((p, band, i, d))
-            key = np.stack((d[order], i[order], band[order]))
-            new = np.ones(len(order), dtype=bool)
-            new[1:] = (key[:, 1:] != key[:, :-1]).any(axis=0)
-            first = np.flatnonzero(new)
-            fresh = new.copy()
-            fresh[1:] |= p[order][1:] != p[order][:-1]
-            if not len(first):
-                continue
-            n = np.add.reduceat(fresh.astype(np.int64), first)
-            ends = np.append(first[1:], len(order))
-            for g in np.flatnonzero(n >= surely[key[1, first]]):
-                own = found.setdefault((int(key[0, first[g]]), int(key[1, first[g]])), set())
-                own.update(np.unique(diagonal[order[first[g] : ends[g]]]).tolist())
-    return found
+    if not found:
+        return []
+    every = np.concatenate(found, axis=1)
+    every = every[:, np.lexsort((every[2], every[1], every[0]))]
+    every = every[:, np.concatenate(([True], (every[:, 1:] != every[:, :-1]).any(axis=0)))]
+    first = np.flatnonzero(np.concatenate(([True], (every[:2, 1:] != every[:2, :-1]).any(axis=0))))
+    return [(d, i, x.tolist()) for d, i, x in zip(every[0, first].tolist(), every[1, first].tolist(), np.split(every[2], first[1:]))]
+
+
+def _bands(met: np.ndarray, place: np.ndarray, shift: int, surely: np.ndarray) -> list[np.ndarray]:
+    """Of meetings (document, item, diagonal) those in bands of diagonals with enough distinct places of the item."""
+    if not met.shape[1]:
+        return []
+    doc, item, diagonal = met
+    key = (doc << 48) ^ (item << 28) ^ ((diagonal + (1 << 31) + shift) // BAND)
+    # most bands have few meetings; they fall out without sorting, by a table of counts that others share
+    with np.errstate(over="ignore"):
+        slot = (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(42)
+    often = np.bincount(slot.astype(np.int64), minlength=1 << 22)
+    there = np.flatnonzero(often[slot.astype(np.int64)] >= surely[item])
+    if not len(there):
+        return []
+    there = there[np.lexsort((place[there], key[there]))]
+    own, spot = key[there], place[there]
+    new = np.concatenate(([True], own[1:] != own[:-1]))
+    fresh = new | np.concatenate(([True], spot[1:] != spot[:-1]))
+    first = np.flatnonzero(new)
+    enough = np.add.reduceat(fresh.astype(np.int64), first) >= surely[item[there[first]]]
+    return [met[:, there[np.repeat(enough, np.diff(np.append(first, len(there))))]]]
 
 
 def search(index: DataFrame, items: DataFrame, item_id: str, text: str) -> DataFrame:
@@ -465,7 +484,7 @@ def _search(index: DataFrame, items: Items) -> DataFrame:
     def meet(group: pd.DataFrame) -> pd.DataFrame:
         postings = _joined(group)
         met = _candidates(postings, wanted.value[0], wanted.value[1], shared.value)
-        return pd.DataFrame([(group["block"].iloc[0], d, i, sorted(x)) for (d, i), x in met.items()], columns=["block", "doc", "item", "diagonals"])
+        return pd.DataFrame([(group["block"].iloc[0], d, i, x) for d, i, x in met], columns=["block", "doc", "item", "diagonals"])
 
     sliced = "block bigint, tokens binary, docs binary, places binary"
     near = stored(rows.select("block", "keys", "starts", "docs", "places").mapInPandas(slices, sliced).groupBy("block").applyInPandas(meet, "block bigint, doc int, item int, diagonals array<int>"))
