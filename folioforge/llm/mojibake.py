@@ -13,8 +13,8 @@ from __future__ import annotations
 
 import re
 import unicodedata as ud
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import cache, lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -82,6 +82,7 @@ def _encode(text: str, encoding: str) -> bytes | None:
         return None
 
 
+@lru_cache(maxsize=50_000)
 def _plausible(char: str) -> bool:
     """Whether a character beyond ASCII is one that texts of the domain have."""
     o = ord(char)
@@ -114,7 +115,11 @@ def _scripts(text: str) -> set[int]:
 def _undo_utf8(text: str, encoding: str) -> tuple[str, int]:
     """Text with UTF-8 in disguise decoded, and how many of its characters that took."""
     taken = 0
-    scripts = _scripts("".join(_encode(x, encoding).decode("utf-8", "replace") for x in _utf8_in(encoding).findall(text)))
+    runs = _utf8_in(encoding).findall(text)
+    if not runs:
+        return text, 0
+    decoded = "".join(_encode(x, encoding).decode("utf-8", "replace") for x in runs)
+    scripts = set() if all(map(_plausible, decoded)) else _scripts(decoded)
 
     def decode(m: re.Match) -> str:
         nonlocal taken
@@ -192,8 +197,8 @@ def _cost(text: str) -> float:
             state = 0
         else:
             n += 1
-            block = _letter_block(c)
-            if block and block == _letter_block(before or " ") and not (c.isupper() and before.islower()):
+            block = _letter_block(c) if "\u0370" <= c < "\u1880" else 0
+            if block and before and block == _letter_block(before) and not (c.isupper() and before.islower()):
                 total += 0.1
             elif block and not state:
                 total += 0.3
@@ -208,9 +213,14 @@ def _cost(text: str) -> float:
 _KOREAN_SYMBOLS = re.compile("(?:[¡¢¦][¡-þ]){2,}")
 
 
+#: where a multi-byte text read as a Western one may be: four characters beyond ASCII in one run
+_HIGH_RUN = re.compile("(?:[\x80-\u0178\u0192\u02c6\u02dc\u2013-\u203a\u20ac\u2122][\x00-\x7f]*){4}")
+
+
 @lru_cache(maxsize=None)
 def _western_runs() -> re.Pattern:
-    return re.compile(_class("cp1252", 0, 255) + "+")
+    """Runs of Western characters from the first beyond ASCII, which every character of these encodings starts with."""
+    return re.compile(_class("cp1252", 0x80, 255) + _class("cp1252", 0, 255) + "*")
 
 
 def _undo_multi(line: str, encodings: list[str]) -> tuple[str, str] | None:
@@ -295,7 +305,7 @@ def _encodings_of(text: str) -> list[str]:
     return [e for e in MULTI_BYTE if e not in COMMON_HAN or e == chinese]
 
 
-def _options(line: str, encodings: list[str]) -> list[tuple[str, str]]:
+def _options(line: str, encodings: Callable[[], list[str]]) -> list[tuple[str, str]]:
     """What a line may have been before one wrong decoding: (text, name of the decoding)."""
     found = []
     beyond = sum(c > "\x7f" for c in line)
@@ -310,7 +320,7 @@ def _options(line: str, encodings: list[str]) -> list[tuple[str, str]]:
             cyrillic = _undo_cyrillic(line)
             if cyrillic is not None:
                 return [(cyrillic[0], f"{cyrillic[1]} as cp1252")]
-    multi = _undo_multi(line, encodings)
+    multi = _undo_multi(line, encodings()) if _HIGH_RUN.search(line) else None
     if multi is not None:
         found.append((multi[0], f"{multi[1]} as cp1252"))
     if re.search("[�가-힣縺繧繝一-鿿]", line):
@@ -320,7 +330,7 @@ def _options(line: str, encodings: list[str]) -> list[tuple[str, str]]:
     return [(t, n) for t, n in found if t != line]
 
 
-def _best(line: str, encodings: list[str]) -> tuple[float, str, list[str]]:
+def _best(line: str, encodings: Callable[[], list[str]]) -> tuple[float, str, list[str]]:
     """The cheapest text that round trips lead to from line, through any number of layers: (cost, text, decodings undone).
 
     Each trip makes the text shorter or is the last of its kind, so there is an end.
@@ -348,7 +358,9 @@ def repair(text: str) -> tuple[str, list[str], bool]:
     undone: list[str] = []
     lines = text.split("\n")
     suspect = [n for n, line in enumerate(lines) if not line.isascii() and _SUSPECT.search(line)]
-    encodings = _encodings_of("\n".join(lines[n] for n in suspect)) if suspect else []
+    whole = "\n".join(lines[n] for n in suspect)
+    # asked for by few texts
+    encodings = cache(lambda: _encodings_of(whole))
     for n in suspect:
         _, lines[n], names = _best(lines[n], encodings)
         undone += [x for x in names if names.count(x) > undone.count(x)]
