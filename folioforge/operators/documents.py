@@ -8,6 +8,7 @@ expressions, so rules stay in generated code and documents are parsed once.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -28,15 +29,19 @@ SIBLING_BARRIER = 200
 NODES = "doc string, ord int, tag string, attrs map<string,string>, text string, inside boolean, card boolean, carrier string, carrier_ord int, before string, heading string, section int"
 
 
+_CONTENT_CLASS = re.compile("post-content|article-body|gh-content", re.I)
+
+
 def content_of(root: Node) -> Node:
-    """Container of a document's content: by class, else article, main, or the document."""
-    for node in elements(root):
-        if {"gh-content", "post-content"} & set(classes(node)):
-            return node
-    for tag in ("article", "main"):
-        for node in elements(root, {tag}):
-            return node
-    return root
+    """Container of a document's content: a section or else a div by class, else article, main, body, or the document."""
+    first: dict[str, Node] = {}
+    for node in elements(root, {"section", "div", "article", "main", "body"}):
+        if node.tag in ("section", "div"):
+            if "class" in node.attrs and node.tag not in first and any(map(_CONTENT_CLASS.search, classes(node))):
+                first[node.tag] = node
+        else:
+            first.setdefault(node.tag, node)
+    return next((first[t] for t in ("section", "div", "article", "main", "body") if t in first), root)
 
 
 def _before(node: Node) -> str:
@@ -123,12 +128,20 @@ def page_meta(nodes: DataFrame, categories: tuple[str, ...]) -> DataFrame:
     """A row per document: title, og_image, published, description and category, its first tag if that is a known one."""
     meta = lambda key: F.min_by(F.when((F.col("tag") == "meta") & (F.coalesce(F.nullif(_attr("property"), F.lit("")), _attr("name")) == key), F.trim(_attr("content"))), F.when((F.col("tag") == "meta") & (F.coalesce(F.nullif(_attr("property"), F.lit("")), _attr("name")) == key), F.col("ord")))
     first_text = lambda tag: F.min_by(F.when(F.col("tag") == tag, F.col("text")), F.when(F.col("tag") == tag, F.col("ord")))
+    titled = (F.col("tag") == "h1") & F.contains(F.lower(_attr("class")), F.lit("post-title"))
+    headline = F.min_by(F.when(titled, F.col("text")), F.when(titled, F.col("ord")))
     found = nodes.groupBy("doc").agg(
-        meta("og:title").alias("og_title"), first_text("h1").alias("h1"), first_text("title").alias("html_title"), meta("og:image").alias("og_image"),
+        meta("og:title").alias("og_title"), headline.alias("headline"), first_text("h1").alias("h1"), first_text("title").alias("html_title"), meta("og:image").alias("og_image"),
         meta("article:published_time").alias("published"), meta("og:description").alias("description"), meta("article:tag").alias("first_tag"),
     )
     named = lambda c: F.nullif(F.col(c), F.lit(""))
-    return found.select("doc", F.coalesce(named("h1"), named("og_title"), named("html_title"), F.lit("")).alias("title"), "og_image", "published", "description", F.when(F.col("first_tag").isin(*categories), F.col("first_tag")).otherwise("").alias("category"))
+    return found.select("doc", F.coalesce(named("headline"), named("h1"), named("og_title"), named("html_title"), F.lit("")).alias("title"), "og_image", "published", "description", F.when(F.col("first_tag").isin(*categories), F.col("first_tag")).otherwise("").alias("category"))
+
+
+def first_tags(nodes: DataFrame) -> DataFrame:
+    """The first tag of each document that has one: (doc, tag)."""
+    tags = nodes.filter((F.col("tag") == "meta") & (_attr("property") == "article:tag") & (F.trim(_attr("content")) != ""))
+    return tags.groupBy("doc").agg(F.min_by(F.trim(_attr("content")), "ord").alias("tag"))
 
 
 def image_items(nodes: DataFrame, config: Config) -> DataFrame:

@@ -13,17 +13,19 @@ import urllib.parse
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioforge.config import Config
 from folioforge.functions.dom import BLOCK, RAW, VOID, Node, ancestors, classes, elements, parse, text_of
 from folioforge.functions.names import url_join
-from folioforge.functions.url import clean_url
+from folioforge.functions.url import clean_url, path_of, percent_decoded
 from folioforge.operators.documents import HEADINGS, content_of
 from folioforge.operators.relations import paged
 
 _CSS_URL = re.compile(r"(url\(\s*['\"]?)([^'\")]+)(['\"]?\s*\))")
+_JSON_URL = re.compile(r'"url"\s*:\s*"([^"]+)"')
 _INLINE = frozenset("strong b em i u s code".split())
 #: recovered media go after a block whose text ends so; shorter context is none
 LEAST_CONTEXT, LONGEST_CONTEXT = 20, 120
@@ -34,23 +36,32 @@ def set_attributes(node: Node, values: dict[str, str]) -> None:
 
 
 def serialized(node: Node) -> str:
-    """HTML of a tree."""
+    """HTML of a tree of any depth."""
     out: list[str] = []
-
-    def write(at: Node) -> None:
-        for child in at.children:
-            if not isinstance(child, Node):
-                out.append(child[1])
-                continue
+    stack: list = [(None, iter(node.children))]
+    while stack:
+        tag, children = stack[-1]
+        child = next(children, None)
+        if child is None:
+            stack.pop()
+            if tag is not None:
+                out.append(f"</{tag}>")
+        elif not isinstance(child, Node):
+            out.append(child[1])
+        else:
             out.append(f"<{child.tag}{child.attrs.rstrip('/').rstrip()}>")
             if child.tag not in VOID:
-                write(child)
-                out.append(f"</{child.tag}>")
-
-    write(node)
+                stack.append((child.tag, iter(child.children)))
     return "".join(out)
 
 
+def _linked_data(node: Node, attributes: dict[str, str]) -> list[str]:
+    """Addresses in a block of JSON-LD."""
+    if node.tag != "script" or attributes.get("type", "").lower() != "application/ld+json":
+        return []
+    return [html.unescape(u).replace("\\/", "/") for c in node.children if not isinstance(c, Node) for u in _JSON_URL.findall(c[1])]
+
+
 def remove(node: Node) -> None:
     node.parent.children = [c for c in node.parent.children if c is not node]
 
@@ -68,19 +79,25 @@ def references(documents: DataFrame, url: str, html_column: str) -> DataFrame:
                     if node.tag == "meta" and "image" in (a.get("property", "") or a.get("name", "")).lower() and not re.search(r"image:(width|height|alt|type)$", a.get("property", "")):
                         refs.append(a.get("content", ""))
                     css = a.get("style", "") + "".join(c[1] for c in node.children if not isinstance(c, Node) and node.tag == "style")
-                    refs += [m.group(2) for m in _CSS_URL.finditer(css)]
+                    refs += [m.group(2) for m in _CSS_URL.finditer(css)] + _linked_data(node, a)
                     rows.update((doc, r.strip()) for r in refs if r.strip() and not r.strip().lower().startswith(("data:", "#", "mailto:", "javascript:")))
             yield pd.DataFrame(sorted(rows), columns=["doc", "ref"])
 
     found = documents.select(F.col(url).alias("doc"), F.col(html_column).alias("html")).mapInPandas(find, "doc string, ref string")
-    return found.withColumn("key", clean_url(url_join(F.col("doc"), F.col("ref"))))
+    found = found.withColumn("key", clean_url(url_join(F.col("doc"), F.col("ref"))))
+    return found.withColumn("slug", first_segment(F.col("key")))
+
 
+def first_segment(url: Column) -> Column:
+    """The first segment of a URL's path, percent-decoded; '' if there is none."""
+    return percent_decoded(F.regexp_extract(path_of(url), r"^/*([^/?#]*)", 1))
 
-def lookups(refs: DataFrame, tables: list[tuple[str, DataFrame, str, str]]) -> DataFrame:
-    """doc and, per table (name, rows, key, value), a map from a document's own references to values."""
+
+def lookups(refs: DataFrame, tables: list[tuple[str, DataFrame, str, str, str]]) -> DataFrame:
+    """doc and, per table (name, rows, column of the reference, key, value), a map from a document's own references to values; of several the least."""
     out = None
-    for name, rows, key, value in tables:
-        known = refs.join(rows.select(F.col(key).alias("key"), F.col(value).alias("value")).filter("value is not null").dropDuplicates(["key"]), "key")
+    for name, rows, by, key, value in tables:
+        known = refs.join(rows.groupBy(F.col(key).alias(by)).agg(F.min(value).alias("value")).filter(f"value is not null and {by} <> ''"), by)
         per = known.groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("ref", "value"))).alias(name))
         out = per if out is None else out.join(per, "doc", "full_outer")
     return out
@@ -93,7 +110,8 @@ def _first_segment(url: str) -> str:
 class Localiser:
     """Changes of one document, in a fixed order: styles, images, page images, backgrounds, media, links to files, recovered media, links to pages, players, scripts."""
 
-    def __init__(self, document: str, url: str, category: str, config: Config, images: dict, media: dict, pages: dict, recovered: list):
+    def __init__(self, document: str, url: str, category: str, config: Config, images: dict, media: dict, pages: dict, recovered: list, assets: dict | None = None):
+        self.assets = assets or {}
         self.root, self.url, self.category, self.config = parse(document), url, category, config
         self.images, self.media, self.pages, self.recovered = images, media, pages, recovered
         self.up = "../../" if category else "../"
@@ -126,6 +144,13 @@ class Localiser:
             elif node.tag == "meta" and a.get("content") and "image" in (a.get("property", "") or a.get("name", "")).lower() and not re.search(r"image:(width|height|alt|type)$", a.get("property", "")):
                 new, mapped = self._image(a["content"])
                 a["content"] = new if mapped else a["content"]
+            elif node.tag == "link" and "stylesheet" in a.get("rel", "").lower().split():
+                if a.get("href", "").strip() in self.assets:
+                    a["href"] = f"{self.up}assets/{self.assets[a['href'].strip()]}"
+            elif node.tag == "script":
+                # the block goes with all scripts, but what it names and nothing has is told
+                for ref in _linked_data(node, a):
+                    self._image(ref)
             elif node.tag == "link" and a.get("rel") == "icon":
                 new, mapped = self._image(a.get("href", ""))
                 a["href"] = new if mapped else a.get("href", "")
@@ -141,7 +166,8 @@ class Localiser:
                     else:
                         del a["poster"]
             elif node.tag == "a" and a.get("href"):
-                a["href"] = self._link(a["href"].strip())
+                logo = self.config.home_logo_class in a.get("class", "").split()
+                a["href"] = ("../" if self.category else "") + "index.html" if logo else self._link(a["href"].strip())
             elif node.tag == "iframe" and re.search(r"youtube(-nocookie)?\.com/embed|player\.vimeo\.com", a.get("src", "")):
                 a["style"] = "width:100%;aspect-ratio:16/9;height:auto"
             if "style" in a and node.tag != "iframe":
@@ -175,6 +201,8 @@ class Localiser:
             return home + "index.html"
         if first == "tag":
             tags = [s for s in parts.path.split("/") if s]
+            if len(tags) > 1 and tags[1] in self.config.tag_categories:
+                return home + f"{self.config.tag_categories[tags[1]]}/index.html"
             return home + f"{tags[1]}.html" if len(tags) > 1 else absolute
         if first in self.config.excluded_paths:
             return absolute
@@ -210,15 +238,26 @@ def normal_text(text: str) -> str:
     return re.sub(r"\s+", " ", text).strip()
 
 
-def localised(documents: DataFrame, url: str, html_column: str, category: str, images: DataFrame, media: DataFrame, pages: DataFrame, recovered: DataFrame, config: Config) -> DataFrame:
+def localised(documents: DataFrame, url: str, html_column: str, category: str, images: DataFrame, media: DataFrame, pages: DataFrame, recovered: DataFrame, config: Config, assets: DataFrame | None = None) -> DataFrame:
     """url, html as it reads offline, and unmapped: canonical URLs of images without a local path, sorted.
 
     images: clean_url, relative_path. media: media_url, relative_path. pages:
-    page_url, path. recovered: post_url, relative_path, anchor_type,
-    anchor_text. A null or empty document stays as it is.
+    page_url, path; a link is to a page if its first segment is the page's,
+    however it is spelled otherwise. recovered: post_url, relative_path,
+    anchor_type, anchor_text. assets: url, file of stylesheets. A null or empty document stays as it is.
     """
     refs = references(documents, url, html_column)
-    maps = lookups(refs, [("images", images, "clean_url", "relative_path"), ("media", media.withColumn("__k", clean_url(F.col("media_url"))), "__k", "relative_path"), ("pages", pages.withColumn("__k", clean_url(F.col("page_url"))), "__k", "path")])
+    if assets is None:
+        assets = documents.sparkSession.createDataFrame([], "url string, file string")
+    maps = lookups(
+        refs,
+        [
+            ("images", images, "key", "clean_url", "relative_path"),
+            ("media", media.withColumn("__k", clean_url(F.col("media_url"))), "key", "__k", "relative_path"),
+            ("pages", pages.withColumn("__k", first_segment(F.col("page_url"))), "slug", "__k", "path"),
+            ("assets", assets.withColumn("__k", clean_url(F.col("url"))), "key", "__k", "file"),
+        ],
+    )
     extra = recovered.groupBy(F.col("post_url").alias("doc")).agg(F.array_sort(F.collect_list(F.struct("relative_path", "anchor_type", "anchor_text"))).alias("recovered"))
     rows = documents.select(F.col(url).alias("doc"), F.col(html_column).alias("html"), F.coalesce(F.col(category), F.lit("")).alias("category"))
     rows = rows.join(maps, "doc", "left").join(extra, "doc", "left")
@@ -233,7 +272,7 @@ def localised(documents: DataFrame, url: str, html_column: str, category: str, i
                     missing.append([])
                     continue
                 found = [] if r.recovered is None or isinstance(r.recovered, float) else [(x["relative_path"], x["anchor_type"], x["anchor_text"]) for x in r.recovered]
-                one = Localiser(r.html, r.doc, r.category, config, as_dict(r.images), as_dict(r.media), as_dict(r.pages), found)
+                one = Localiser(r.html, r.doc, r.category, config, as_dict(r.images), as_dict(r.media), as_dict(r.pages), found, as_dict(r.assets))
                 pages_out.append(one.run())
                 missing.append(sorted(one.unmapped))
             yield pd.DataFrame({"doc": b["doc"], "html": pages_out, "unmapped": missing})
@@ -317,7 +356,7 @@ def to_markdown(node: Node, base: str, images: dict[str, str], prefix: str) -> s
 def markdown(documents: DataFrame, url: str, html_column: str, title: str, date: str, category: str, images: DataFrame) -> DataFrame:
     """url, text: a head with title, date, category and source, and the content in Markdown, without author cards, share bars, navigation and comments."""
     refs = references(documents, url, html_column)
-    maps = lookups(refs, [("images", images, "clean_url", "relative_path")])
+    maps = lookups(refs, [("images", images, "key", "clean_url", "relative_path")])
     rows = documents.select(F.col(url).alias("doc"), F.col(html_column).alias("html"), *[F.coalesce(F.col(c), F.lit("")).alias(n) for c, n in ((title, "title"), (date, "date"), (category, "category"))]).join(maps, "doc", "left")
 
     def change(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -356,3 +395,26 @@ def listing(posts: DataFrame, template: str, per_page: int = 500) -> DataFrame:
     grouped = placed.groupBy("category", "page_no").agg(F.array_sort(F.collect_list(F.struct("place", "card"))).alias("c")).join(size, "category")
     page = F.replace(F.replace(F.lit(template), F.lit("{posts}"), F.array_join(F.transform("c", lambda x: x.card), "\n")), F.lit("{count}"), F.col("n"))
     return grouped.select("category", "page_no", page.alias("page"))
+
+
+def listing_template(document: str) -> str | None:
+    """A saved listing page as a template for `listing`: its feed emptied, links to further pages dropped; None without a feed."""
+    root = parse(document)
+    feed = next((n for n in elements(root, {"div"}) if "post-feed" in classes(n)), None)
+    if feed is None:
+        return None
+    feed.children = [(0, "{posts}")]
+    for node in list(elements(root, {"link", "nav"})):
+        if node.attributes().get("rel") in ("next", "prev") or "pagination" in classes(node):
+            remove(node)
+    return serialized(root)
+
+
+@F.pandas_udf(T.StringType())
+def absolute_css(text: pd.Series, base: pd.Series) -> pd.Series:
+    """Stylesheets with the references in url() made absolute; data and absolute ones stay."""
+
+    def one(css: str, at: str) -> str:
+        return _CSS_URL.sub(lambda m: m.group(0) if m.group(2).startswith(("data:", "http://", "https://", "#")) else m.group(1) + urllib.parse.urljoin(at, m.group(2)) + m.group(3), css)
+
+    return pd.Series([None if c is None else one(c, a or "") for c, a in zip(text, base)])

@@ -12,11 +12,13 @@ from folioforge.config import Config
 from folioforge.functions import names
 from folioforge.functions.url import clean_url, host_of, language_variant, link_key, moved, original_of_snapshot, snapshot_image_url
 from folioforge.operators import documents as docs
+from folioforge.operators import fallbacks
 from folioforge.operators import relations as rel
 from folioforge.operators import render
 from folioforge.plans.announcements import shown_headline_and_date
-from folioforge.plans.problems import CHANNEL_ZONE, channel_instants, post_instants, post_key
+from folioforge.plans.problems import _HOST, _SLUG, CHANNEL_ZONE, channel_instants, post_instants, post_key
 from folioforge.session import checkpoint
+from folioforge.sources import ledgers
 from folioforge.sources.tables import Blogs, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -308,26 +310,32 @@ def nearest_donor(spark: SparkSession, folder: str) -> DataFrame:
     return rel.nearest(_donors(table(spark, folder, "orders")).filter("l <> r"), "l", "r", "days")
 
 
-_CAND = (
-    "WITH p AS (SELECT DISTINCT regexp_extract(url, '//blog-(..)\\.', 1) AS lang, regexp_extract(url, '//[^/]+/([^/?#]+)/$', 1) AS slug, substr(published_time, 1, 10) AS d, coalesce(lastmod, '') AS lastmod "
-    f"FROM all_posts WHERE snap_no = {LATEST} AND regexp_matches(url, '^https://blog-(ko|en|ja)\\.[^/]+/[^/?#]+/$') AND regexp_matches(published_time, '^\\d{{4}}-\\d{{2}}-\\d{{2}}T')) "
+_POSTS = (
+    f"WITH raw AS (SELECT row_id, {_HOST} AS host, {_SLUG} AS slug, coalesce(published_time, '') AS p, coalesce(lastmod, '') AS m FROM (SELECT *, url AS u FROM all_posts WHERE snap_no = {LATEST})), "
+    "posts AS (SELECT row_id, b.lang, slug, p, m FROM raw JOIN blogs b USING (host) WHERE slug <> ''), "
 )
 
 
+def _latest_posts(spark: SparkSession, folder: str) -> DataFrame:
+    """row_id, lang, slug and the texts p (published) and m (last change) of all rows of the latest snapshot that are posts."""
+    lang, slug = post_key(Blogs.read(table(spark, folder, "blogs")), F.col("url"))
+    rows = _latest(spark, folder).select("row_id", lang.alias("lang"), slug.alias("slug"), F.coalesce("published_time", F.lit("")).alias("p"), F.coalesce("lastmod", F.lit("")).alias("m"))
+    return rows.filter("lang is not null and slug <> ''")
+
+
 @query(
-    _CAND + "SELECT a.slug AS ko_slug, a.lastmod AS ko_lastmod, b.lang, b.slug, b.lastmod, (a.slug = b.slug)::INT * 2 + (a.lastmod = b.lastmod)::INT AS score, "
-    "CAST(row_number() OVER (PARTITION BY a.slug, a.lastmod ORDER BY (a.slug = b.slug)::INT * 2 + (a.lastmod = b.lastmod)::INT DESC, b.lang, b.slug, b.lastmod) AS INT) AS rank "
-    "FROM p a JOIN p b ON a.d = b.d AND a.lang = 'ko' AND b.lang <> 'ko'"
+    _POSTS + "k AS (SELECT DISTINCT lang, slug, substr(p, 1, 10) AS d, m FROM posts), ko AS (SELECT slug || '|' || d || '|' || m AS doc, * FROM k WHERE lang = 'ko'), o AS (SELECT lang || '/' || slug || '|' || d || '|' || m AS url, * FROM k WHERE lang <> 'ko'), "
+    "s AS (SELECT doc, url, o.lang, 4 AS score FROM ko JOIN o ON ko.slug = o.slug UNION ALL SELECT doc, url, o.lang, 1 FROM ko JOIN o ON ko.d = o.d AND ko.m = o.m AND ko.d <> '' AND ko.m <> ''), "
+    "g AS (SELECT doc, url, lang, sum(score) AS score FROM s GROUP BY ALL) SELECT doc, url, lang, score::BIGINT AS score, row_number() OVER (PARTITION BY doc ORDER BY score DESC, lang, url)::INT AS rank FROM g"
 )
 def candidate_score_rank(spark: SparkSession, folder: str) -> DataFrame:
-    """Posts of other languages on the day of a Korean one, ranked by signals."""
-    latest = _latest(spark, folder).filter(F.col("url").rlike(r"^https://blog-(ko|en|ja)\.[^/]+/[^/?#]+/$") & F.col("published_time").rlike(r"^\d{4}-\d{2}-\d{2}T"))
-    posts = latest.select(
-        F.regexp_extract("url", r"//blog-(..)\.", 1).alias("lang"), F.regexp_extract("url", r"//[^/]+/([^/?#]+)/$", 1).alias("slug"), F.substring("published_time", 1, 10).alias("d"), F.coalesce("lastmod", F.lit("")).alias("lastmod")
-    ).distinct()
-    ko = posts.filter("lang = 'ko'").select("d", F.col("slug").alias("ko_slug"), F.col("lastmod").alias("ko_lastmod"))
-    pairs = ko.join(posts.filter("lang <> 'ko'"), "d").withColumn("score", (F.col("ko_slug") == F.col("slug")).cast("int") * 2 + (F.col("ko_lastmod") == F.col("lastmod")).cast("int"))
-    return rel.ranked(pairs, ["ko_slug", "ko_lastmod"], [F.desc("score"), F.col("lang"), F.col("slug"), F.col("lastmod")]).drop("d")
+    """Posts of other languages that share the slug, or the day and the last change, with a Korean one, ranked; days are the first ten characters of the published time."""
+    posts = _latest_posts(spark, folder).select("lang", "slug", F.substring("p", 1, 10).alias("day"), F.col("m").alias("lastmod"), F.lit("").alias("category")).distinct()
+    name = F.concat_ws("|", "slug", "day", "lastmod")
+    ko = posts.filter("lang = 'ko'").withColumn("doc", name)
+    others = posts.filter("lang <> 'ko'").withColumn("url", F.concat("lang", F.lit("/"), name))
+    none = spark.createDataFrame([], "category string, lang string, expected string")
+    return fallbacks.language_candidates(ko, others, none, {})
 
 
 def _day(ms: str) -> Column:
@@ -345,19 +353,6 @@ def _listed(spark: SparkSession, folder: str) -> DataFrame:
     return post_instants(post_instants(last, blogs, "published_time", "published_ms"), blogs, "lastmod", "lastmod_ms").select("lang", "slug", "row_id", "published_ms", "lastmod_ms")
 
 
-@query(None)
-def candidate_ranks(spark: SparkSession, folder: str) -> DataFrame:
-    """candidate_score_rank over all posts, languages and spellings, by instants; it has no SQL, as that can't read the times.
-
-    Days are those of the channel's zone. A lastmod that isn't known agrees with none; a post without published time has no day.
-    """
-    posts = _listed(spark, folder).withColumn("d", _day("published_ms")).filter("d is not null").select("lang", "slug", "lastmod_ms", "d")
-    ko = posts.filter("lang = 'ko'").select("d", F.col("slug").alias("ko_slug"), F.col("lastmod_ms").alias("ko_lastmod_ms"))
-    alike = F.coalesce(F.col("ko_lastmod_ms") == F.col("lastmod_ms"), F.lit(False))
-    pairs = ko.join(posts.filter("lang <> 'ko'"), "d").withColumn("score", (F.col("ko_slug") == F.col("slug")).cast("int") * 2 + alike.cast("int"))
-    return rel.ranked(pairs, ["ko_slug"], [F.desc("score"), F.col("lang"), F.col("slug")]).drop("d")
-
-
 @query(None)
 def channel_title_match(spark: SparkSession, folder: str) -> DataFrame:
     """Pages of the day of a channel post with the most similar title; the ratio has no form in SQL.
@@ -417,6 +412,48 @@ def top_per_group(spark: SparkSession, folder: str) -> DataFrame:
     return rel.ranked(rows, ["lang"], [F.desc_nulls_last("n"), F.col("doc_id")]).filter("rank <= 3").drop("n")
 
 
+_SUFFIX_SQL = "lower(regexp_extract(" + PATH_SQL.format(url="url") + ", '[^/.][^/]*?(\\.[^./]+)$', 1))"
+
+
+@query(
+    f"SELECT map_id, {_SUFFIX_SQL} IN ('.png', '.jpg', '.jpeg', '.gif', '.webp', '.bmp', '.svg') AS image, {_SUFFIX_SQL} IN ('.zip', '.rar', '.7z', '.tar', '.gz', '.tgz') AS archive FROM image_map"
+)
+def accepted_by_extension(spark: SparkSession, folder: str) -> DataFrame:
+    """Which addresses count as images and as archives when the response says no more than text."""
+    will = lambda ext, archives: fallbacks.acceptable(F.lit("text/plain"), F.col("url"), F.lit(1), Config(), F.lit(ext), F.lit(archives))
+    return table(spark, folder, "image_map").select("map_id", will(True, False).alias("image"), will(False, True).alias("archive"))
+
+
+@query(
+    f"SELECT substr(published_time, 1, 10) AS day, b.lang, count(DISTINCT url) AS n FROM (SELECT url, published_time, {_HOST} AS host FROM (SELECT *, url AS u FROM all_posts)) JOIN blogs b USING (host) WHERE published_time <> '' GROUP BY ALL"
+)
+def date_index_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Posts per day and language, by the first ten characters of their published time."""
+    lang, _ = post_key(Blogs.read(table(spark, folder, "blogs")), F.col("url"))
+    posts = table(spark, folder, "all_posts").select("url", lang.alias("lang"), "published_time").filter("lang is not null")
+    return fallbacks.date_index(posts).groupBy("day", "lang").agg(F.count("*").alias("n"))
+
+
+@query(
+    "WITH r AS (SELECT dl_key, strftime(downloaded_at, '%Y%m%d%H%M%S') AS timestamp, CASE WHEN removed_at IS NULL THEN '200' ELSE '404' END AS status, row_number() OVER (PARTITION BY dl_key ORDER BY dl_id) - 1 AS pos FROM downloaded_urls) "
+    "SELECT dl_key, arg_min(timestamp, pos) AS timestamp FROM r WHERE status = '200' AND pos < 5 GROUP BY dl_key"
+)
+def oldest_good(spark: SparkSession, folder: str) -> DataFrame:
+    """The first good one among the first five snapshots of each address, downloads standing for snapshots."""
+    rows = table(spark, folder, "downloaded_urls").select("dl_key", "dl_id", F.col("dl_key").alias("original"), F.date_format("downloaded_at", "yyyyMMddHHmmss").alias("timestamp"), F.when(F.col("removed_at").isNull(), "200").otherwise("404").alias("status"))
+    placed = rows.withColumn("pos", F.row_number().over(W.partitionBy("dl_key").orderBy("dl_id")) - 1)
+    return ledgers.oldest_snapshots(placed, ["dl_key"]).select("dl_key", "timestamp")
+
+
+@query(
+    "SELECT md5(url) AS sha256, arg_max(relative_path, map_id) AS relative_path, bool_or(url LIKE '%/size/%') AS is_thumb FROM image_map WHERE relative_path IS NOT NULL GROUP BY 1"
+)
+def hash_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """The last path of each hash, and whether any of its rows is a thumbnail's."""
+    rows = table(spark, folder, "image_map").filter("relative_path is not null")
+    return ledgers.hash_entries(rows.select(F.md5("url").alias("sha256"), "relative_path", F.when(F.contains("url", F.lit("/size/")), "T").otherwise("").alias("is_thumb"), F.col("map_id").alias("_seq")))
+
+
 # documents
 
 
@@ -425,13 +462,15 @@ def _nodes(spark: SparkSession, folder: str) -> DataFrame:
     return docs.node_table(pages, "id", "html")
 
 
+_H1 = "trim(regexp_replace(regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1, 's'), '<[^>]*>', '', 'g'))"
+
+
 @query(
-    "SELECT page_id::VARCHAR AS doc, regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1) AS title FROM html WHERE regexp_matches(html, '<h1[^>]*>[^<&]*</h1>')"
+    f"SELECT page_id::VARCHAR AS doc, replace(replace(replace(replace({_H1}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&') AS title FROM html WHERE regexp_matches(html, '<(h[1-6]|meta|title|img|a|strong)\\b')"
 )
 def page_titles(spark: SparkSession, folder: str) -> DataFrame:
-    with_h1 = table(spark, folder, "html").filter(F.col("html").rlike("<h1[^>]*>[^<&]*</h1>"))
-    nodes = docs.node_table(with_h1.select(F.col("page_id").cast("string").alias("id"), "html"), "id", "html")
-    return docs.page_meta(nodes, Config().categories).select("doc", "title")
+    """Titles of all pages with markup."""
+    return docs.page_meta(_nodes(spark, folder), Config().categories).select("doc", "title")
 
 
 @query(
@@ -456,10 +495,14 @@ def _site(spark: SparkSession, folder: str) -> Config:
 
 
 def _pages(spark: SparkSession, folder: str) -> DataFrame:
-    """The last saved page of each address."""
-    pages = table(spark, folder, "html").filter("post_url is not null")
-    last = pages.groupBy("post_url").agg(F.max(F.struct("fetched_at", "page_id", "html")).alias("p")).select(F.trim("post_url").alias("post_url"), "p.page_id", "p.html")
-    return last.groupBy("post_url").agg(F.max_by("html", "page_id").alias("html"))
+    """The last saved page of each post, whatever the spelling of its address (lang and slug are null for other pages): post_url is the least of them."""
+    lang, slug = post_key(Blogs.read(table(spark, folder, "blogs")), F.col("post_url"))
+    pages = table(spark, folder, "html").filter("post_url is not null").select("page_id", "fetched_at", "html", F.trim("post_url").alias("post_url"), lang.alias("lang"), F.when(lang.isNotNull(), F.nullif(slug, F.lit(""))).alias("slug"))
+    pages = pages.withColumn("key", F.when(F.col("slug").isNotNull(), F.concat_ws("/", "lang", "slug")).otherwise(F.col("post_url")))
+    last = pages.groupBy("key").agg(F.max(F.struct("fetched_at", "page_id")).getField("page_id").alias("page_id"), F.min("post_url").alias("post_url"))
+    # the text isn't part of the aggregation: it is joined to the pages that count
+    html = pages.select("key", "page_id", "lang", "slug", "html")
+    return last.join(html, ["key", "page_id"]).groupBy("post_url", "lang", "slug").agg(F.min("html").alias("html"))
 
 
 @query(None)
@@ -475,11 +518,12 @@ def page_sections(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _described(spark: SparkSession, folder: str) -> DataFrame:
-    pages = _pages(spark, folder)
+    pages = checkpoint(_pages(spark, folder))
     meta = docs.page_meta(docs.node_table(pages, "post_url", "html"), Config().categories).withColumnRenamed("doc", "post_url")
     kind = F.substring_index(names.url_slug(F.col("post_url")), "-", 1)
-    day = table(spark, folder, "all_posts").groupBy(F.trim("url").alias("post_url")).agg(F.max(F.substring("published_time", 1, 10)).alias("date"))
-    return pages.join(meta.drop("category"), "post_url", "left").join(day, "post_url", "left").withColumns({"category": kind, "title": F.coalesce("title", F.lit(""))})
+    lang, slug = post_key(Blogs.read(table(spark, folder, "blogs")), F.col("url"))
+    day = table(spark, folder, "all_posts").select(lang.alias("lang"), slug.alias("slug"), F.substring("published_time", 1, 10).alias("date")).groupBy("lang", "slug").agg(F.max("date").alias("date"))
+    return pages.join(meta.drop("category"), "post_url", "left").join(day, ["lang", "slug"], "left").withColumns({"category": kind, "title": F.coalesce("title", F.lit(""))})
 
 
 def _images_by_url(spark: SparkSession, folder: str) -> DataFrame:
@@ -510,30 +554,35 @@ def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _edges(spark: SparkSession, folder: str) -> DataFrame:
-    pages = table(spark, folder, "html").select(F.regexp_extract("post_url", r"//[^/]+/+([^/?#]+)", 1).alias("src"), F.explode(F.regexp_extract_all("html", F.lit('<a href="/([^"/]+)/"'), F.lit(1))).alias("dst"))
-    return pages.filter("src <> ''")
+    """(src, dst) of links between posts, by language and slug, from all pages in any spelling."""
+    blogs = Blogs.read(table(spark, folder, "blogs"))
+    pages = table(spark, folder, "html").select(F.trim("post_url").alias("post_url"), "html").filter("post_url is not null")
+    links = docs.page_links(docs.node_table(pages, "post_url", "html"))
+    post = lambda url: F.concat_ws("/", *[F.nullif(c, F.lit("")) for c in post_key(blogs, url)])
+    links = links.filter(~render.first_segment(F.col("url")).isin(*Config().excluded_paths))
+    return links.select(post(F.col("doc")).alias("src"), post(F.col("url")).alias("dst")).filter("src like '%/%' and dst like '%/%'")
 
 
 @query(
-    "WITH e AS (SELECT DISTINCT regexp_extract(post_url, '//[^/]+/+([^/?#]+)', 1) AS s, unnest(regexp_extract_all(html, '<a href=\"/([^\"/]+)/\"', 1)) AS t FROM html), f AS (SELECT * FROM e WHERE s <> ''), "
-    "a AS (SELECT DISTINCT s FROM f WHERE starts_with(s, 'maintenance')), l1 AS (SELECT DISTINCT t FROM f JOIN a USING (s)), l2 AS (SELECT DISTINCT f.t FROM f JOIN l1 ON f.s = l1.t) "
+    f"WITH h AS (SELECT {_HOST} AS host, {_SLUG} AS slug, html FROM (SELECT html, post_url AS u FROM html)), "
+    "l AS (SELECT host, slug, unnest(regexp_extract_all(html, '<a [^>]*href=\"(/[^\"]*)\"', 1)) AS u FROM h), "
+    f"e AS (SELECT DISTINCT b.lang || '/' || slug AS s, b.lang || '/' || {_SLUG} AS t FROM l JOIN blogs b USING (host) WHERE slug <> '' AND NOT regexp_matches(u, '^/+(tag|author|rss|assets|content|public)(/|$)') AND {_SLUG} <> ''), "
+    "a AS (SELECT DISTINCT s FROM e WHERE contains(s, '/maintenance')), l1 AS (SELECT DISTINCT t FROM e JOIN a USING (s)), l2 AS (SELECT DISTINCT e.t FROM e JOIN l1 ON e.s = l1.t) "
     "SELECT t AS slug, min(h) AS hops FROM (SELECT t, 1 AS h FROM l1 UNION ALL SELECT t, 2 FROM l2) GROUP BY t"
 )
 def two_hop_reach(spark: SparkSession, folder: str) -> DataFrame:
-    edges = _edges(spark, folder)
-    start = edges.filter("startswith(src, 'maintenance')").select(F.col("src").alias("slug"))
+    edges = checkpoint(_edges(spark, folder))
+    start = edges.filter("contains(src, '/maintenance')").select(F.col("src").alias("slug"))
     return rel.reachable(edges, "src", "dst", start, "slug")
 
 
 @query(
-    "WITH p AS (SELECT split_part(regexp_extract(url, '//[^/]+/([^/?#]+)/$', 1), '-', 1) AS category, coalesce(published_time, '') AS p, row_id "
-    f"FROM all_posts WHERE snap_no = {LATEST} AND regexp_matches(url, '^https://blog-en\\.[^/]+/[^/?#]+/$')), r AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY p DESC, row_id) AS place FROM p) "
+    _POSTS + "c AS (SELECT lang || '/' || split_part(slug, '-', 1) AS category, p, row_id FROM posts), r AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY p DESC, row_id) AS place FROM c) "
     "SELECT category, (place - 1) // 20 + 1 AS page_no, string_agg(row_id::VARCHAR, ',' ORDER BY place) AS posts FROM r GROUP BY 1, 2"
 )
 def category_listing(spark: SparkSession, folder: str) -> DataFrame:
-    """Posts of the pages of a listing by category, newest first, 20 a page."""
-    rows = _latest(spark, folder).filter(F.col("url").rlike(r"^https://blog-en\.[^/]+/[^/?#]+/$"))
-    rows = rows.select(F.substring_index(F.regexp_extract("url", r"//[^/]+/([^/?#]+)/$", 1), "-", 1).alias("category"), F.coalesce("published_time", F.lit("")).alias("p"), "row_id")
+    """Rows of the pages of a listing by language and category, in the order of the published texts, 20 a page."""
+    rows = _latest_posts(spark, folder).select(F.concat_ws("/", "lang", F.substring_index("slug", "-", 1)).alias("category"), "p", "row_id")
     placed = rel.paged(rows, "category", [F.desc("p"), F.col("row_id")], 20)
     ids: Column = F.transform(F.array_sort(F.collect_list(F.struct("place", "row_id"))), lambda x: x.row_id.cast("string"))
     return placed.groupBy("category", "page_no").agg(F.array_join(ids, ",").alias("posts"))
@@ -541,7 +590,7 @@ def category_listing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(None)
 def category_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """category_listing over all posts, languages and spellings, newest instant first and unknown ones last; it has no SQL, as that can't read the times."""
+    """category_listing with a row per post and by instants, newest first and unknown ones last; it has no SQL, as that can't read the times."""
     rows = _listed(spark, folder).withColumn("of", F.concat_ws("/", "lang", F.substring_index("slug", "-", 1)))
     placed = rel.paged(rows, "of", [F.desc_nulls_last("published_ms"), F.col("row_id")], 20)
     ids: Column = F.transform(F.array_sort(F.collect_list(F.struct("place", "row_id"))), lambda x: x.row_id.cast("string"))

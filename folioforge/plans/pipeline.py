@@ -15,8 +15,8 @@ from folioforge.config import Config
 from folioforge.functions import names
 from folioforge.functions.url import clean_url
 from folioforge.operators import documents as docs
+from folioforge.operators import fallbacks, recovery, render
 from folioforge.operators import relations as rel
-from folioforge.operators import render
 
 ORDER = ("html", "images", "media", "md", "html-local")
 
@@ -28,6 +28,12 @@ class Stages:
     posts: url, lastmod, published_time. fetches: url, status, final_url,
     content_type, content_disposition, content. Earlier results may be given as
     done (stage, post_url).
+
+    archive (url, payload, final_url, content_type, size) and from_post (doc,
+    and the same) are what the archive has, payload being the address in fetches
+    of the content. earlier: the image map of former runs. With `retry`, images
+    that no fetch gives are looked for under like headings of posts of
+    `retry_category`.
     """
 
     posts: DataFrame
@@ -35,6 +41,12 @@ class Stages:
     config: Config = field(default_factory=Config)
     done: DataFrame | None = None
     force: bool = False
+    archive: DataFrame | None = None
+    from_post: DataFrame | None = None
+    earlier: DataFrame | None = None
+    assets: DataFrame | None = None
+    retry: bool = False
+    retry_category: str = "Notice"
     tables: dict[str, DataFrame] = field(default_factory=dict)
 
     def run(self, selected: tuple[str, ...] = ORDER) -> dict[str, DataFrame]:
@@ -67,38 +79,65 @@ class Stages:
     def _nodes(self) -> DataFrame:
         return docs.node_table(self.tables["pages"], "post_url", "html")
 
-    def _payloads(self, items: DataFrame, least_bytes: int, accept: str) -> DataFrame:
-        """Items with the fetched content that is acceptable, by kind."""
-        got = items.join(self.fetches.withColumnRenamed("url", "fetch_url"), F.col("url") == F.col("fetch_url"), "left")
-        kind = F.lower(F.coalesce("content_type", F.lit("")))
-        good = F.col("status").between(200, 299) & (F.octet_length("content") >= least_bytes) & (F.startswith(kind, F.lit("image/")) if accept == "image" else ~F.contains(kind, F.lit("text/html")))
-        return got.withColumn("ok", F.coalesce(good, F.lit(False)))
+    def _responses(self) -> DataFrame:
+        """Good responses, by address, without their content."""
+        good = self.fetches.filter(F.col("status").between(200, 299))
+        return good.select("url", F.col("url").alias("payload"), "final_url", "content_type", F.octet_length("content").alias("size"))
+
+    def _with_content(self, chained: DataFrame) -> DataFrame:
+        content = self.fetches.select(F.col("url").alias("payload"), "content", "content_disposition")
+        return chained.join(content, "payload", "left").withColumn("ok", F.col("how").isNotNull() & F.col("content").isNotNull())
 
     def _images(self) -> None:
         """Image map, failures and counts; equal content is kept once, later URLs are aliases."""
+        spark = self.posts.sparkSession
         nodes = self._nodes()
+        pages = self.tables["pages"].select(F.col("post_url").alias("doc"), "date", "category")
         items = docs.image_items(nodes, self.config)
         sound = docs.non_image_urls(nodes, self.config).select("doc", "url")
-        items = items.join(sound, ["doc", "url"], "left_anti").join(self.tables["pages"].select(F.col("post_url").alias("doc"), "date", "category"), "doc")
-        got = self._payloads(items, 1, "image")
-        self.tables["failed_images"] = got.filter(~F.col("ok")).select(F.col("doc").alias("post_url"), F.col("url").alias("img_url"), F.lit("download_failed").alias("reason")).distinct()
+        items = items.join(sound, ["doc", "url"], "left_anti").join(pages, "doc")
+        # an override leads to the path of its target, or to its target's address
+        earlier = self.earlier if self.earlier is not None else spark.createDataFrame([], "clean_url string, relative_path string")
+        overrides = spark.createDataFrame(sorted(self.config.image_overrides.items()), "url string, target string")
+        over = fallbacks.overridden(items, overrides, earlier).select("doc", "url", "target", "relative_path").distinct()
+        items = items.join(over, ["doc", "url"], "left").withColumns({"own_url": F.col("url"), "url": F.coalesce("target", "url")})
+        mapped = items.filter("relative_path is not null").select(F.col("own_url").alias("clean_url"), "relative_path")
+        items = items.filter("relative_path is null").drop("relative_path", "target")
+        none = "url string, payload string, final_url string, content_type string, size int"
+        archive = self.archive if self.archive is not None else spark.createDataFrame([], none)
+        from_post = self.from_post if self.from_post is not None else spark.createDataFrame([], "doc string, " + none)
+        chained = fallbacks.download_chain(items, self._responses(), archive, from_post, self.config)
+        got = self._with_content(items.join(chained.drop("kind").distinct(), ["doc", "url"]))
+        failed = got.filter(~F.col("ok"))
+        found = spark.createDataFrame([], "clean_url string, relative_path string")
+        if self.retry:
+            asked = fallbacks.by_heading(failed, self.retry_category, self.retry).select("doc", "url").distinct()
+            donors = recovery.donor_images(asked, docs.section_images(nodes), pages.withColumnRenamed("date", "day"), self.config.donor_days, self.config.heading_similarity)
+            found = donors.join(earlier.withColumnRenamed("clean_url", "donor_url"), "donor_url").groupBy(F.col("url").alias("clean_url")).agg(F.min("relative_path").alias("relative_path"))
+            failed = failed.join(found.select(F.col("clean_url").alias("url")), "url", "left_anti")
+        self.tables["failed_images"] = failed.select(F.col("doc").alias("post_url"), F.col("own_url").alias("img_url"), F.lit("download_failed").alias("reason")).distinct()
         exts = (*self.config.image_exts, *self.config.archive_exts)
         name = names.safe_filename(names.image_filename(F.col("kind"), F.col("url"), F.coalesce("final_url", "url"), F.coalesce("content_type", F.lit("")), F.coalesce("content_disposition", F.lit("")), F.col("idx"), exts))
         folder = F.concat_ws("/", F.lit("images"), F.coalesce(F.nullif("category", F.lit("")), F.lit("etc")), names.date_folder(F.col("date")))
-        saved = got.filter("ok").select("doc", "idx", "url", "kind", folder.alias("folder"), name.alias("name"), F.sha2("content", 256).alias("sha256"))
+        saved = got.filter("ok").select("doc", "idx", F.col("own_url").alias("url"), "kind", folder.alias("folder"), name.alias("name"), F.sha2("content", 256).alias("sha256"))
         named = rel.collision_names(saved, "folder", "name", "sha256", ["doc", "idx"])
         stemmed = F.concat(names.stem(F.col("name")), F.regexp_extract("saved_name", r"(_\d+)$", 1), names.suffix(F.col("name")))
         paths = saved.join(named, ["folder", "name", "sha256"]).withColumn("path", F.concat_ws("/", "folder", F.when(F.col("saved_name") == F.col("name"), F.col("name")).otherwise(stemmed)))
         first = paths.groupBy("sha256").agg(F.min(F.struct("doc", "idx", "path")).alias("f")).select("sha256", F.col("f.path").alias("relative_path"))
         kept = paths.join(first, "sha256")
-        self.tables["image_map"] = kept.groupBy(F.col("url").alias("clean_url")).agg(F.min("relative_path").alias("relative_path"))
+        every = kept.select(F.col("url").alias("clean_url"), "relative_path").unionByName(mapped).unionByName(found)
+        self.tables["image_map"] = every.groupBy("clean_url").agg(F.min("relative_path").alias("relative_path"))
         self.tables["image_hashes"] = kept.groupBy("sha256").agg(F.min("relative_path").alias("relative_path"), F.bool_and(F.col("kind") == "og_image").alias("is_thumb"))
         self.tables["image_metrics"] = got.agg(F.count("*").alias("items"), F.count_if("ok").alias("ok"), F.count_if(~F.col("ok")).alias("failed"))
 
     def _media(self) -> None:
         """Media map and failures."""
         items = docs.media_items(self._nodes(), self.config)
-        got = self._payloads(items, 1, "media")
+        none = "url string, payload string, content_type string, size int"
+        archive = self.archive if self.archive is not None else self.posts.sparkSession.createDataFrame([], none)
+        forum = self.posts.sparkSession.createDataFrame([], none)
+        chained = fallbacks.media_chain(items, self._responses(), archive.select("url", "payload", "content_type", "size"), forum)
+        got = self._with_content(items.join(chained.distinct(), ["doc", "url"]))
         exts = (*self.config.video_exts, *self.config.audio_exts)
         name = names.safe_filename(names.media_filename(F.col("url"), F.coalesce("content_type", F.lit("")), F.coalesce("content_disposition", F.lit("")), exts))
         self.tables["media_map"] = got.filter("ok").select(F.col("doc").alias("post_url"), F.col("url").alias("media_url"), F.concat(F.lit("media/"), name).alias("relative_path"), F.lit("inline").alias("anchor_type"), F.lit("").alias("anchor_text"))
@@ -118,7 +157,8 @@ class Stages:
         file = F.concat(F.when(F.col("category") != "", F.concat("category", F.lit("/"))).otherwise(""), "slug", F.lit(".html"))
         targets = pages.select(F.col("post_url").alias("page_url"), file.alias("path"))
         media = self.tables.get("media_map", spark.createDataFrame([], "post_url string, media_url string, relative_path string, anchor_type string, anchor_text string"))
-        out = render.localised(pages, "post_url", "html", "category", self._image_map(), media, targets, media.filter("anchor_type <> 'inline'"), self.config)
+        lookup = fallbacks.remote_first(media, self.config)
+        out = render.localised(pages, "post_url", "html", "category", self._image_map(), lookup, targets, media.filter("anchor_type <> 'inline'"), self.config, self.assets)
         self.tables["html_local"] = out.select("post_url", "html")
         self.tables["stale_html_local"] = out.filter(F.size("unmapped") > 0).select("post_url", "unmapped")
         image = pages.join(self._image_map(), clean_url(F.col("og_image")) == F.col("clean_url"), "left")

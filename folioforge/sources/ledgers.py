@@ -103,19 +103,77 @@ def media_map(spark: SparkSession, path: str) -> DataFrame:
 
 
 def hashes(spark: SparkSession, path: str) -> DataFrame:
-    """sha256, relative_path, is_thumb; the first path of a hash counts. Either spelling of the header is one."""
+    """sha256, relative_path, is_thumb of a hash ledger. Either spelling of the header is one."""
     rows = ledger(spark, path, ["sha256", "relative_path", "is_thumb"], least=2, headers=["sha256_hash,relative_path,is_thumbnail", "hash,relative_path,is_thumb"])
-    first = rows.groupBy("sha256").agg(F.min_by(F.struct("relative_path", (F.col("is_thumb") == "T").alias("is_thumb")), "_seq").alias("f"))
-    return first.select("sha256", "f.*")
+    return hash_entries(rows.filter("sha256 <> '' and relative_path <> ''"))
 
 
-def file_hashes(spark: SparkSession, folder: str, thumbnails: str = "/thumbnails/") -> DataFrame:
-    """sha256, relative_path, is_thumb of the files below a folder; the least path of equal files counts."""
+def hash_entries(rows: DataFrame) -> DataFrame:
+    """sha256, relative_path, is_thumb: the last path of a hash counts, and it is a thumbnail's if any row says so (`T`)."""
+    return rows.groupBy("sha256").agg(F.max_by("relative_path", "_seq").alias("relative_path"), F.bool_or(F.coalesce(F.col("is_thumb") == "T", F.lit(False))).alias("is_thumb"))
+
+
+def legacy_thumbs(spark: SparkSession, path: str) -> DataFrame:
+    """sha256 of the former list of thumbnails, a hash per line."""
+    return text_lines(spark, path).select(F.trim("value").alias("sha256")).distinct()
+
+
+def file_hashes(spark: SparkSession, folder: str, thumbnails: str = "/thumbnails/", legacy: DataFrame | None = None) -> DataFrame:
+    """sha256, relative_path, is_thumb of the files below a folder; the least path of equal files counts.
+
+    A thumbnail is what lies in the folder of thumbnails or is in the legacy list.
+    """
     if not exists(spark, folder):
         return spark.createDataFrame([], "sha256 string, relative_path string, is_thumb boolean")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     hashed = files.select(F.sha2("content", 256).alias("sha256"), F.regexp_replace("path", r"^file:(//)?", "").alias("path"))
-    return hashed.groupBy("sha256").agg(F.min("path").alias("relative_path")).withColumn("is_thumb", F.contains("relative_path", F.lit(thumbnails)))
+    known = hashed.groupBy("sha256").agg(F.min("path").alias("relative_path"), F.bool_or(F.contains("path", F.lit(thumbnails))).alias("is_thumb"))
+    if legacy is None:
+        return known
+    listed = legacy.select("sha256").distinct().withColumn("__listed", F.lit(True))
+    return known.join(listed, "sha256", "left").select("sha256", "relative_path", (F.col("is_thumb") | F.coalesce("__listed", F.lit(False))).alias("is_thumb"))
+
+
+def line_count(spark: SparkSession, path: str) -> int:
+    """Lines of a ledger that aren't blank."""
+    return text_lines(spark, path).count()
+
+
+def first_row(rows: DataFrame) -> DataFrame:
+    """The first row of a ledger."""
+    return rows.orderBy("_seq").limit(1)
+
+
+def modified(spark: SparkSession, path: str) -> int | None:
+    """Time of the last change of a file or folder in epoch milliseconds, None if there is none."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.getFileStatus(hadoop).getModificationTime() if system.exists(hadoop) else None
+
+
+def still_valid(spark: SparkSession, cache: str, sources: list[str]) -> bool:
+    """Whether a cache is there and none of its sources was changed after it; missing sources don't count."""
+    at = modified(spark, cache)
+    return at is not None and all((m := modified(spark, s)) is None or m <= at for s in sources)
+
+
+def published_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(day, url, lang) and (url, category) of a published index.
+
+    It is a folder as `sinks.write_published_index` writes it, or one JSON
+    object of lists by day with `_categories` and `_meta`. A missing or broken
+    one gives no rows.
+    """
+    none = spark.createDataFrame([], "day string, url string, lang string"), spark.createDataFrame([], "url string, category string")
+    if not exists(spark, path):
+        return none
+    if exists(spark, f"{path}/days"):
+        days = spark.read.schema("day string, entries array<struct<url:string,lang:string>>").json(f"{path}/days")
+        return days.select("day", F.inline("entries")), spark.read.schema("url string, category string").json(f"{path}/categories")
+    parts = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,string>")).alias("key", "part"))
+    days = parts.filter("key not in ('_meta', '_categories')").select(F.col("key").alias("day"), F.explode(F.from_json("part", "array<array<string>>")).alias("e"))
+    categories = parts.filter("key = '_categories'").select(F.explode(F.from_json("part", "map<string,string>")).alias("url", "category"))
+    return days.select("day", F.get("e", F.lit(0)).alias("url"), F.get("e", F.lit(1)).alias("lang")), categories
 
 
 def html_files(spark: SparkSession, folder: str, done_rows: DataFrame) -> DataFrame:
@@ -149,10 +207,16 @@ def cdx_rows(responses: DataFrame, body: Column, keep: list[str]) -> DataFrame:
     return told.select(*keep, "pos", F.get("col", F.lit(0)).alias("timestamp"), F.get("col", F.lit(1)).alias("original"), F.get("col", F.lit(2)).alias("status"))
 
 
-def oldest_snapshots(rows: DataFrame, keep: list[str]) -> DataFrame:
-    """The first snapshot with a 2xx or 3xx status of each key."""
-    good = rows.filter(F.col("status").rlike("^[23]"))
-    return good.groupBy(*keep).agg(F.min(F.struct("timestamp", "original")).alias("s")).select(*keep, "s.*")
+def oldest_snapshots(rows: DataFrame, keep: list[str], most: int = 5) -> DataFrame:
+    """The first snapshot with a 2xx or 3xx status of each key, in the archive's order, among its first `most`."""
+    good = rows.filter(F.col("status").rlike(r"^\s*[23]") & (F.col("pos") < most) & (F.trim("timestamp") != "") & (F.trim("original") != ""))
+    return good.groupBy(*keep).agg(F.min(F.struct("pos", "timestamp", "original")).alias("s")).select(*keep, "s.timestamp", "s.original")
+
+
+def snapshots_below(rows: DataFrame, prefix: str, first: str, last: str, most: int) -> DataFrame:
+    """Distinct addresses below a prefix with a good snapshot between two timestamps, in the archive's order: a report of `most` at most."""
+    there = rows.filter(F.startswith("original", F.lit(prefix)) & F.col("timestamp").between(first, last) & (F.col("status") == "200"))
+    return there.groupBy("original").agg(F.min("pos").alias("pos")).orderBy("pos", "original").limit(most).select("original", "pos")
 
 
 def channel_page_items(responses: DataFrame, body: Column) -> DataFrame:
