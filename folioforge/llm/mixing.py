@@ -12,31 +12,35 @@ import base64
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.session import stored
 
+#: file of a public tokenizer, a parameter of `Mix`; it is read once by the driver, not by workers
 DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: how text is cut before byte pairs are merged.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 #: targets are a small dimension; more rows than this are refused
 MAX_SOURCES = 10_000
 #: drawn numbers are counted in so many bins per source for the calibration
-BINS = 1024
+BINS = 4096
 
 
-def count_tokens(vocabulary: str):
-    """Batch function that adds n_tokens to (id, source, text)."""
+def count_tokens(spark: SparkSession, vocabulary: str):
+    """Batch function that adds n_tokens to (id, source, text). The vocabulary goes to the workers as a broadcast of its some hundred thousand entries, so they need no file."""
+    with open(vocabulary, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    shared = spark.sparkContext.broadcast(ranks)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import tiktoken
 
-        with open(vocabulary, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        encoding = tiktoken.Encoding("mix", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        encoding = tiktoken.Encoding("mix", pat_str=PATTERN, mergeable_ranks=shared.value, special_tokens={})
         for b in batches:
             texts = b["text"].fillna("").tolist()
             yield pd.DataFrame({"id": b["id"], "source": b["source"], "u": b["u"], "n_tokens": [len(x) for x in encoding.encode_ordinary_batch(texts, num_threads=1)]}).astype({"id": "Int64"})
@@ -54,18 +58,34 @@ def uniform(seed: int, *key: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *key), 11) / F.lit(float(1 << 53))
 
 
-def thresholds(mean: float, cap: int) -> list[float]:
-    """Distribution function of Poisson(mean) at 0 .. cap - 1: a number draws one copy more for each that it reaches."""
-    out, p, total = [], math.exp(-mean), 0.0
-    for k in range(cap):
-        total += p
-        out.append(min(total, 1.0))
-        p *= mean / (k + 1)
-    return out
+def thresholds(mean: float, cap: int) -> tuple[int, list[float]]:
+    """Distribution function of Poisson(mean), cut at cap: (least, steps). A number draws `least` copies, and one more for each step that it reaches.
+
+    Copies that every drawn number has, or none, for all its bits, are no steps,
+    so there are some ten deviations of them, whatever the mean and the cap.
+    """
+    if mean <= 0:
+        return 0, []
+    width = 10.0 * math.sqrt(mean) + 40.0
+    low, high = min(cap, max(0, math.floor(mean - width))), min(cap, math.ceil(mean + width))
+    k = np.arange(low, high)
+    steps = np.cumsum(np.exp(k * math.log(mean) - mean - _log_factorials(high)[low:high]))
+    return low, np.minimum(steps, 1.0).tolist()
+
+
+@lru_cache(maxsize=64)
+def _log_factorials_upto(power: int) -> np.ndarray:
+    return np.concatenate(([0.0], np.cumsum(np.log(np.arange(1, 1 << power)))))
+
+
+def _log_factorials(n: int) -> np.ndarray:
+    """Logarithms of the factorials of 0 to n - 1, at least."""
+    return _log_factorials_upto(max(10, int(n).bit_length()))
 
 
 def copies_at(u: float, mean: float, cap: int) -> int:
-    return sum(u >= t for t in thresholds(mean, cap))
+    least, steps = thresholds(mean, cap)
+    return least + sum(u >= t for t in steps)
 
 
 @dataclass(frozen=True)
@@ -75,13 +95,17 @@ class Plan:
     means: dict[str, float]
     caps: dict[str, int]
 
-    def copies(self, source: Column, u: Column) -> Column:
-        """Number of copies of a document; 0 for sources without target."""
-        steps = {s: thresholds(m, self.caps[s]) for s, m in self.means.items() if m > 0}
-        if not steps:
-            return F.lit(0)
-        table = F.create_map(*[x for s, t in sorted(steps.items()) for x in (F.lit(s), F.array(*map(F.lit, t)))])
-        return F.coalesce(F.size(F.filter(F.try_element_at(table, source), lambda t: u >= t)), F.lit(0))
+    def with_copies(self, rows: DataFrame) -> DataFrame:
+        """rows (source, u, ...) with the number of copies of each; 0 for sources without target.
+
+        The steps are a row per source, of at most MAX_SOURCES, so their
+        table is small enough to be broadcast.
+        """
+        steps = [(s, *thresholds(m, self.caps[s])) for s, m in sorted(self.means.items()) if m > 0]
+        table = rows.sparkSession.createDataFrame(steps, "source string, __least int, __steps array<double>")
+        joined = rows.join(F.broadcast(table), "source", "left")
+        reached = F.col("__least") + F.size(F.filter("__steps", lambda t: F.col("u") >= t))
+        return joined.withColumn("copies", F.when(F.col("__steps").isNotNull(), reached).otherwise(0)).drop("__least", "__steps")
 
 
 def make_plan(tokens: dict[str, dict[int, int]], targets: list[tuple[str, float, int]], reach: float = 0.9, total: float | None = None) -> Plan:
@@ -100,9 +124,13 @@ def make_plan(tokens: dict[str, dict[int, int]], targets: list[tuple[str, float,
     if total is None:
         total = min(reach * c * have[s] * whole / w for s, w, c in open_)
 
+    counted = {s: (np.array(sorted(tokens[s]), dtype=float), np.array([tokens[s][b] for b in sorted(tokens[s])], dtype=float)) for s, _, _ in open_}
+
     def drawn(s: str, mean: float, cap: int) -> float:
-        steps = thresholds(mean, cap)
-        return sum(n * sum(max(0.0, min(1.0, b + 1 - t * BINS)) for t in steps) for b, n in tokens[s].items())
+        bins, n = counted[s]
+        least, steps = thresholds(mean, cap)
+        part = least + np.clip(bins[:, None] + 1 - np.array(steps)[None, :] * BINS, 0.0, 1.0).sum(axis=1)
+        return float((n * part).sum())
 
     means = {}
     for s, w, c in open_:
@@ -141,7 +169,7 @@ class Mix:
         key = F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("\u0000"), F.col(text)), F.lit(""))
         named = documents.select(F.col(doc_id).alias("id"), source_name(F.col(source)).alias("source"), F.col(text).alias("text"), uniform(seed, key).alias("u"))
         self.documents = named.filter(F.col("source").isin(list(shares)) if shares else F.lit(False))
-        self.counted = stored(self.documents.mapInPandas(count_tokens(vocabulary), "id bigint, source string, u double, n_tokens bigint"))
+        self.counted = stored(self.documents.mapInPandas(count_tokens(self.spark, vocabulary), "id bigint, source string, u double, n_tokens bigint"))
         bins = self.counted.groupBy("source", F.floor(F.col("u") * BINS).alias("bin")).agg(F.sum("n_tokens").alias("n")).collect()
         tokens: dict[str, dict[int, int]] = {}
         for r in bins:
@@ -150,7 +178,7 @@ class Mix:
 
     def rows(self) -> DataFrame:
         """doc_id, source, copy_no, text in an order shuffled over all: rows are spread by a hash of document and copy, and sorted by it."""
-        drawn = self.documents.withColumn("copies", self.plan.copies(F.col("source"), F.col("u"))).filter("copies > 0")
+        drawn = self.plan.with_copies(self.documents).filter("copies > 0")
         each = drawn.select("id", "source", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy_no"), "text", "u")
         place = F.xxhash64(F.lit(self.seed + 1), "u", "id", "copy_no")
         shuffled = each.withColumn("place", place).repartition("place").sortWithinPartitions("place")
@@ -158,7 +186,7 @@ class Mix:
 
     def shares(self) -> DataFrame:
         """source, target_share, max_repeats, n_docs, n_copies, n_tokens, actual_share: a row per target."""
-        used = self.counted.withColumn("copies", self.plan.copies(F.col("source"), F.col("u")))
+        used = self.plan.with_copies(self.counted)
         by = used.groupBy("source").agg(
             F.sum((F.col("copies") > 0).cast("bigint")).alias("n_docs"), F.sum("copies").cast("bigint").alias("n_copies"), F.sum(F.col("copies") * F.col("n_tokens")).alias("n_tokens"), F.max("copies").alias("most_repeats")
         )

@@ -47,6 +47,21 @@ def test_poisson_inverse():
     assert mixing.copies_at(0.999999, 3.0, 2) == 2
 
 
+def test_large_means_and_caps():
+    for mean in (900.0, 50_000.0):
+        drawn = [mixing.copies_at((k + 0.5) / 2000, mean, 10**6) for k in range(2000)]
+        assert abs(sum(drawn) / 2000 - mean) < 0.01 * mean and 0.8 < (sum((d - mean) ** 2 for d in drawn) / 2000) / mean < 1.2
+        assert len(mixing.thresholds(mean, 10**6)[1]) < 30 * mean**0.5 + 100
+    assert mixing.copies_at(0.5, 900.0, 7) == 7
+
+
+def test_many_sources(spark):
+    docs = [(n, f"s{n % 300}", f"word {n}", 1) for n in range(900)]
+    shares = make(spark, docs, [(f"s{n}", 1 / 300, 1000) for n in range(300)], total=300_000.0).shares()
+    rows = shares.collect()
+    assert abs(sum(r.actual_share for r in rows) - 1) < 1e-6 and max(r.most_repeats for r in rows) <= 1000
+
+
 def test_empty(spark):
     assert make(spark, [], [("a", 1.0, 1)]).rows().count() == 0 and make(spark, documents(3, "a"), []).rows().count() == 0
     assert make(spark, documents(3, "a"), [("a", None, None)]).rows().count() == 0
