@@ -120,7 +120,8 @@ def with_instant(df: DataFrame, value: Column, tz: Column, order: Column, out: s
 
     Null, empty, placeholder and impossible values, and wall-clock times that
     never occurred, give null. A time that occurred twice means the first. A
-    date without time is the start of that day. Rows, their number and all other
+    date without time is the start of that day; 24:00 is the end of it, and a
+    leap second, :59:60, the start of the next minute. Rows, their number and all other
     columns stay as they are, whatever their names; an existing column `out` is
     replaced. An empty table gives an empty table.
     """
@@ -154,7 +155,7 @@ def with_instant(df: DataFrame, value: Column, tz: Column, order: Column, out: s
         t + "region": F.coalesce(part["region"], F.col(t + "tz")),
     })
     y, m, d, h, i, sec = (f"`{t}{k}`" for k in ("y", "m", "d", "h", "i", "s"))
-    valid = f"{y} between 1 and 9999 and {m} between 1 and 12 and {d} between 1 and {days_in_month(y, m)} and {h} between 0 and 23 and {i} between 0 and 59 and {sec} between 0 and 59"
+    valid = f"{y} between 1 and 9999 and {m} between 1 and 12 and {d} between 1 and {days_in_month(y, m)} and ({h} between 0 and 23 or {h} = 24 and {i} = 0 and {sec} = 0 and `{t}ms` = 0) and {i} between 0 and 59 and ({sec} between 0 and 59 or {sec} = 60 and {i} = 59)"
     local = f"(((({days_from_civil(y, m, d)} * 24 + {h}) * 60 + {i}) * 60 + {sec}) * 1000 + `{t}ms`)"
     s = s.withColumn(t + "local", once(F.expr(f"case when {valid} then {local} end")))
     # a time that occurred twice comes out as the first, one that never occurred is moved, which the way back shows

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+import unicodedata as ud
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,7 +57,7 @@ def kind_of(slug: str) -> str:
 
 
 def _features(title: str) -> list[int]:
-    flat = re.sub(r"\d+", "0", re.sub(r"[^\w]+", " ", title.lower()))
+    flat = re.sub(r"\d+", "0", re.sub(r"[^\w]+", " ", ud.normalize("NFKC", title).lower()))
     flat = f" {flat.strip()} "
     grams = {flat[i : i + n] for n in (2, 3) for i in range(len(flat) - n + 1)}
     return sorted({hash_of(g) % MODEL_FEATURES for g in grams})
@@ -148,6 +149,7 @@ def channel_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         names, grams = [], []
         for title in b["title"]:
+            title = ud.normalize("NFKC", title)
             heard = sounds(title)
             names.append(_keys({heard[i : i + n] for n in PIECES for i in range(len(heard) - n + 1)}, script(title)))
             grams.append(_keys(ngrams(plain_title(title), 3), "g" + script(title)))
@@ -195,6 +197,36 @@ def pair_weight(title: str, name: str, slug: str, lang: str, post_title: str | N
     return w
 
 
+def candidate_pairs(posts: DataFrame, channel: DataFrame) -> DataFrame:
+    """(title_no, post_no) of titles and posts that share a key, at a time that allows for it.
+
+    Keys are parts of the name, of which an accepted title has one, and the
+    rarest of a title's letters, of which a title that shares SHARE of them has one.
+    """
+    # written, as the keys are read several times and cost more than their reading
+    keyed = posts.select("post_no", "lang", "name", "post_title", F.col("at").cast("string").alias("at"), F.col("until").cast("string").alias("until")).mapInPandas(post_keys, "post_no bigint, lang string, name string, post_title string, at string, until string, names array<string>, grams array<string>").drop("lang", "name", "post_title")
+    keyed = stored(keyed)
+    width = (BEFORE + AFTER) * HOUR
+    bucket = lambda c: F.floor(c / F.lit(width))
+    sounded = channel.select("title_no", "title", "ms").mapInPandas(channel_keys, "title_no bigint, title string, ms bigint, names array<string>, grams array<string>").drop("title")
+    sounded = stored(sounded)
+
+    # Two titles that share at least SHARE of the channel title's letters share one of its rarest; the rarest are enough of
+    # them that the rest is less than SHARE.
+    hashed = lambda c: F.xxhash64(c).alias("key")
+    usual = keyed.select(F.explode("grams").alias("gram")).select(hashed("gram")).groupBy("key").agg(F.count("*").alias("n"))
+    counted = sounded.select("title_no", "ms", F.size("grams").alias("of"), F.explode("grams").alias("gram")).select("title_no", "ms", "of", hashed("gram")).join(usual, "key", "left")
+    rare = counted.groupBy("title_no", "ms", "of").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key"))).alias("grams"))
+    rare = rare.select("title_no", "ms", F.explode(F.expr(f"filter(slice(grams, 1, of - cast(ceil({SHARE} * of) as int) + 1), g -> g.n > 0)")).alias("g")).select("title_no", "ms", "g.key")
+    named = sounded.select("title_no", "ms", F.explode("names").alias("form")).select("title_no", "ms", hashed("form"))
+    asked = named.unionByName(rare).select("title_no", "ms", "key", bucket(F.col("ms")).alias("bucket"))
+    held = keyed.select("post_no", F.col("at").cast("bigint").alias("at"), F.col("until").cast("bigint").alias("until"), F.explode(F.concat("names", "grams")).alias("form")).select("post_no", "at", "until", hashed("form"))
+    # posts without a day meet the titles of all times up to their bound
+    open_ = asked.join(small(held.filter("at is null").select("post_no", "until", "key")), "key").filter(f"until is null or ms <= until + {AFTER * HOUR}").select("title_no", "post_no")
+    held = held.filter("at is not null").select("post_no", "at", "key", F.explode(F.array_distinct(F.array(bucket(F.col("at") - BEFORE * HOUR), bucket(F.col("at") + AFTER * HOUR)))).alias("bucket"))
+    return asked.join(held, ["bucket", "key"]).filter(f"ms between at - {BEFORE * HOUR} and at + {AFTER * HOUR}").select("title_no", "post_no").unionByName(open_).distinct()
+
+
 def announcement_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Candidate pairs (id, lang, slug) with the log-odds of their evidence."""
     blogs = Blogs.read(table(spark, folder, "blogs"))
@@ -235,31 +267,10 @@ def announcement_pairs(spark: SparkSession, folder: str) -> DataFrame:
     posts = posts.select("lang", "slug", "name", F.col("title").alias("post_title"), F.coalesce("pub", "day").alias("at"), F.col("pub").isNotNull().alias("exact"), "until", "siblings")
     # numbered, so that what is shuffled by key is numbers only
     posts = checkpoint(posts.withColumn("post_no", F.monotonically_increasing_id()))
-    # written, as the keys are read several times and cost more than their reading
-    keyed = posts.select("post_no", "lang", "name", "post_title", F.col("at").cast("string").alias("at"), F.col("until").cast("string").alias("until")).mapInPandas(post_keys, "post_no bigint, lang string, name string, post_title string, at string, until string, names array<string>, grams array<string>").drop("lang", "name", "post_title")
-    keyed = stored(keyed)
-    width = (BEFORE + AFTER) * HOUR
-    bucket = lambda c: F.floor(c / F.lit(width))
     channel = channel_instants(table(spark, folder, "channel_posts").select("row_id", "id", "title", "published_at", "sort"), "ms")
     channel = channel.select("id", "title", F.coalesce("ms", F.expr("sort div 10")).alias("ms")).filter("id is not null and title is not null and ms is not null")
     channel = checkpoint(channel.withColumn("title_no", F.monotonically_increasing_id()))
-    sounded = channel.select("title_no", "title", "ms").mapInPandas(channel_keys, "title_no bigint, title string, ms bigint, names array<string>, grams array<string>").drop("title")
-    sounded = stored(sounded)
-
-    # Two titles that share at least SHARE of the channel title's letters share one of its rarest; the rarest are enough of
-    # them that the rest is less than SHARE.
-    hashed = lambda c: F.xxhash64(c).alias("key")
-    usual = keyed.select(F.explode("grams").alias("gram")).select(hashed("gram")).groupBy("key").agg(F.count("*").alias("n"))
-    counted = sounded.select("title_no", "ms", F.size("grams").alias("of"), F.explode("grams").alias("gram")).select("title_no", "ms", "of", hashed("gram")).join(usual, "key", "left")
-    rare = counted.groupBy("title_no", "ms", "of").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key"))).alias("grams"))
-    rare = rare.select("title_no", "ms", F.explode(F.expr(f"filter(slice(grams, 1, of - cast(ceil({SHARE} * of) as int) + 1), g -> g.n > 0)")).alias("g")).select("title_no", "ms", "g.key")
-    named = sounded.select("title_no", "ms", F.explode("names").alias("form")).select("title_no", "ms", hashed("form"))
-    asked = named.unionByName(rare).select("title_no", "ms", "key", bucket(F.col("ms")).alias("bucket"))
-    held = keyed.select("post_no", F.col("at").cast("bigint").alias("at"), F.col("until").cast("bigint").alias("until"), F.explode(F.concat("names", "grams")).alias("form")).select("post_no", "at", "until", hashed("form"))
-    # posts without a day meet the titles of all times up to their bound
-    open_ = asked.join(small(held.filter("at is null").select("post_no", "until", "key")), "key").filter(f"until is null or ms <= until + {AFTER * HOUR}").select("title_no", "post_no")
-    held = held.filter("at is not null").select("post_no", "at", "key", F.explode(F.array_distinct(F.array(bucket(F.col("at") - BEFORE * HOUR), bucket(F.col("at") + AFTER * HOUR)))).alias("bucket"))
-    near = asked.join(held, ["bucket", "key"]).filter(f"ms between at - {BEFORE * HOUR} and at + {AFTER * HOUR}").select("title_no", "post_no").unionByName(open_).distinct()
+    near = candidate_pairs(posts, channel)
     # by title last, so that what a title needs is calculated once
     near = near.join(posts, "post_no").join(channel, "title_no")
     # from the time of the post, else from the nearest of its siblings'
@@ -270,12 +281,13 @@ def announcement_pairs(spark: SparkSession, folder: str) -> DataFrame:
         for b in batches:
             out = []
             for title, name, slug_, lang_, post_title, hours, exact in zip(b["title"], b["name"], b["slug"], b["lang"], b["post_title"], b["hours"], b["exact"]):
+                title = ud.normalize("NFKC", title)
                 if title not in seen:
                     if len(seen) > 50_000:
                         seen.clear()
                     scores = model[:, _features(title)].sum(axis=1) if labels else np.zeros(0)
                     seen[title] = dict(zip(labels, (scores - scores.max()).tolist())) if labels else {}
-                known = html.unescape(post_title) if isinstance(post_title, str) else None
+                known = ud.normalize("NFKC", html.unescape(post_title)) if isinstance(post_title, str) else None
                 out.append(pair_weight(title, name, slug_, lang_, known, None if pd.isna(hours) else hours, bool(exact), seen[title]))
             pairs = pd.DataFrame({"id": b["id"], "post": b["lang"] + "/" + b["slug"], "weight": np.array(out, dtype="float64")})
             yield pairs[pairs["weight"] >= LEAST_WEIGHT]

@@ -49,6 +49,14 @@ def test_kana_have_one_letter_for_hu_and_fu(spark, tmp_path):
     assert found(spark, tmp_path, posts, [(1, "モニフムサーバーメンテのお知らせ", ms(2024, 2, 1, 15))]) == {(1, "ja", "maintenance-monihum-3")}
 
 
+def test_forms_of_characters_do_not_matter(spark, tmp_path):
+    import unicodedata
+
+    posts = [("https://blog-ko.example/maintenance-hakirtor/", "2024-02-27", "2024-02-01T12:00:00Z"), ("https://blog-ko.example/maintenance-roli/", "2023-02-27", "2023-02-01T12:00:00Z"), ("https://blog-ja.example/coupon-monikum/", "2024-02-27", "2024-02-01T12:00:00Z")]
+    decomposed, half = unicodedata.normalize("NFD", "하키르토르 서버 점검 안내"), "ﾓﾆｸﾑｸｰﾎﾟﾝと贈り物"
+    assert found(spark, tmp_path, posts, [(1, decomposed, ms(2024, 2, 1, 15)), (2, half, ms(2024, 2, 1, 15))]) == {(1, "ko", "maintenance-hakirtor"), (2, "ja", "coupon-monikum")}
+
+
 def test_keys_cover_every_edit_that_weights_accept():
     import random
 
@@ -100,3 +108,28 @@ def test_candidates_and_listings_have_posts_of_every_spelling(spark, tmp_path):
     ]
     folder = tables(spark, tmp_path, posts, [])
     assert {(r.lang, r.category, r.page_no, r.posts) for r in archive.category_pages(spark, folder).collect()} == {("ko", "hero", 1, "0"), ("fr", "hero", 1, "1"), ("en", "hero", 1, "2,3")}
+
+
+def test_candidates_against_all_pairs(spark, monkeypatch):
+    """Of all pairs in one script around the time of publication that the weights would accept the keys find nine in ten at least."""
+    import os
+
+    import pytest
+
+    from pyspark.sql import functions as F
+
+    from folioforge.functions.phonetic import script
+    from folioforge.plans import announcements
+
+    folder = "/root/testdata/sf0.001"
+    if not os.path.exists(folder):
+        pytest.skip("needs the test tables")
+    keyed = {(r.id, r.post) for r in announcements.announcement_pairs(spark, folder).filter("weight >= 0").collect()}
+    before, after = announcements.BEFORE * announcements.HOUR, announcements.AFTER * announcements.HOUR
+    near = f"ms between at - {before} and at + {after} or at is null and (until is null or ms <= until + {after})"
+    own = F.when(F.col("lang").isin("ko", "ja"), F.col("lang")).otherwise("la")
+    in_script = F.udf(script)(F.col("title")) == own
+    every = lambda posts, channel: channel.crossJoin(posts).filter(near).filter(in_script).select("title_no", "post_no")
+    monkeypatch.setattr(announcements, "candidate_pairs", every)
+    whole = {(r.id, r.post) for r in announcements.announcement_pairs(spark, folder).filter("weight >= 0").collect()}
+    assert keyed <= whole and len(keyed) >= 0.9 * len(whole) > 0, (len(keyed), len(whole))

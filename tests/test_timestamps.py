@@ -15,6 +15,12 @@ def ms(text: str) -> int:
 
 SEOUL, LA, BERLIN = "Asia/Seoul", "America/Los_Angeles", "Europe/Berlin"
 CASES = [
+    ("2024-02-28T24:00:00Z", SEOUL, "ymd", ms("2024-02-29T00:00:00+00:00")),
+    ("2024-12-31 24:00", SEOUL, "ymd", ms("2025-01-01T00:00:00+09:00")),
+    ("2016-12-31T23:59:60Z", SEOUL, "ymd", ms("2017-01-01T00:00:00+00:00")),
+    ("2024-02-28T24:00:01Z", SEOUL, "ymd", None),
+    ("2024-02-28T25:00:00Z", SEOUL, "ymd", None),
+    ("2024-02-28T10:30:60Z", SEOUL, "ymd", None),
     ("2024-10-31T03:57:39+05:45", SEOUL, "ymd", ms("2024-10-31T03:57:39+05:45")),
     ("2020-01-19T21:18:00Z", BERLIN, "dmy", ms("2020-01-19T21:18:00+00:00")),
     ("27 Oct 2020", LA, "mdy", ms("2020-10-27T00:00:00-07:00")),
