@@ -12,6 +12,7 @@ import html
 import re
 import unicodedata as ud
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -86,7 +87,7 @@ def fit_wording(titles: DataFrame) -> tuple[list[str], np.ndarray]:
     for r in sample:
         label = f"{r['lang']}|{kind_of(r['slug']) if kind_of(r['slug']) in usual else ''}"
         row = counts.setdefault(label, np.zeros(MODEL_FEATURES, dtype=np.float32))
-        row[_features(html.unescape(r["title"]))] += 1
+        row[_features(_clean(r["title"]))] += 1
     labels = sorted(counts)
     if not labels:
         return [], np.zeros((0, MODEL_FEATURES), dtype=np.float32)
@@ -156,6 +157,29 @@ def channel_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield b.assign(names=names, grams=grams)
 
 
+@lru_cache(maxsize=50_000)
+def _clean(text: str) -> str:
+    """Text without entities, in one form of characters."""
+    return ud.normalize("NFKC", html.unescape(text))
+
+
+@lru_cache(maxsize=50_000)
+def _numbers(text: str) -> frozenset[str]:
+    return frozenset(x.lstrip("0") or "0" for x in re.findall(r"\d+", text))
+
+
+@lru_cache(maxsize=50_000)
+def _told(title: str) -> tuple[frozenset[str], frozenset[str], bool]:
+    """What a title says besides its labels: letter pairs, numbers, and whether it is in Latin letters."""
+    plain = plain_title(title)
+    return ngrams(plain), _numbers(plain), script(plain) == "la"
+
+
+@lru_cache(maxsize=50_000)
+def _spoken(name: str, lang: str) -> tuple[str, ...]:
+    return tuple(sounds(x) for x in readings(name, _script_of_lang(lang)))
+
+
 def pair_weight(title: str, name: str, slug: str, lang: str, post_title: str | None, hours: float | None, exact: bool, likely: dict[str, float]) -> float:
     """Log-odds that title announces the post, from its own evidence."""
     w = -3.0
@@ -164,18 +188,18 @@ def pair_weight(title: str, name: str, slug: str, lang: str, post_title: str | N
         w += 2.0 if -1 <= hours <= 14 else 1.0 if -30 <= hours <= 74 else -4.0
     elif hours is not None:
         w += 0.5 if -BEFORE - SIBLINGS <= hours <= AFTER + SIBLINGS else -3.5
-    heard, spoken = sounds(title), [sounds(x) for x in readings(name, _script_of_lang(lang))]
+    heard, spoken = sounds(title), _spoken(name, lang)
     # the reading that is heard best
     own = next((x for k in range(3) for x in spoken if (k == 0 and x in heard) or 0 < k <= edits_of(x) and contains_near(heard, x, k)), spoken[0])
-    plain = plain_title(title)
-    told, other = ngrams(plain), ngrams(post_title) if post_title is not None else frozenset()
+    told, said, latin = _told(title)
+    other = ngrams(post_title) if post_title is not None else frozenset()
     if len(own) > 2 and own in heard:
         w += 4.0 if len(own) > 3 else 3.5
     elif edits_of(own) and contains_near(heard, own, 1):
         w += 2.5
     elif edits_of(own) > 1 and contains_near(heard, own, 2):
         w += 1.5
-    elif post_title is not None and len(told - other) <= (2 if script(plain) == "la" else 1):
+    elif post_title is not None and len(told - other) <= (2 if latin else 1):
         # nothing but what the post's title says: the name was left out or cut off
         w -= 0.5
     else:
@@ -184,15 +208,14 @@ def pair_weight(title: str, name: str, slug: str, lang: str, post_title: str | N
     # wording: language and kind
     if likely:
         kind = f"{lang}|{kind_of(slug)}"
-        mine = likely[kind] if kind in likely else max((v for k, v in likely.items() if k.startswith(f"{lang}|")), default=-40.0)
+        mine = likely[kind] if kind in likely else likely.get(lang, -40.0)
         w += max(-1.5, 1.0 + 0.2 * mine)
     if post_title is not None:
         s = len(told & other) / max(1, min(len(told), len(other)))
         w += max(-3.0, min(3.0, 8 * (s - 0.4)))
     # numbers count where the slug states them: chapters and versions, not the number of a repeated notice
-    said = {x.lstrip("0") or "0" for x in re.findall(r"\d+", plain)}
     if said:
-        stated = {x.lstrip("0") or "0" for x in (re.findall(r"\d+", post_title) if post_title is not None else re.findall(r"\d+", slug))}
+        stated = _numbers(post_title if post_title is not None else slug)
         w += 1.0 if said <= stated else -2.0 if stated else 0.0
     return w
 
@@ -276,18 +299,28 @@ def announcement_pairs(spark: SparkSession, folder: str) -> DataFrame:
     # from the time of the post, else from the nearest of its siblings'
     near = near.withColumn("hours", F.coalesce(F.col("ms") - F.col("at"), F.expr("array_min(transform(siblings, s -> struct(abs(ms - s) as away, ms - s as after))).after")) / HOUR)
 
+    def wording(title: str) -> dict[str, float]:
+        """Log-likelihoods of `lang|kind` below the greatest, and of the best kind of each language under `lang`."""
+        if not labels:
+            return {}
+        scores = model[:, _features(title)].sum(axis=1)
+        own = dict(zip(labels, (scores - scores.max()).tolist()))
+        for label in labels:
+            lang_ = label.split("|")[0]
+            own[lang_] = max(own.get(lang_, own[label]), own[label])
+        return own
+
     def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[str, dict[str, float]] = {}
         for b in batches:
             out = []
             for title, name, slug_, lang_, post_title, hours, exact in zip(b["title"], b["name"], b["slug"], b["lang"], b["post_title"], b["hours"], b["exact"]):
-                title = ud.normalize("NFKC", title)
+                title = _clean(title)
                 if title not in seen:
                     if len(seen) > 50_000:
                         seen.clear()
-                    scores = model[:, _features(title)].sum(axis=1) if labels else np.zeros(0)
-                    seen[title] = dict(zip(labels, (scores - scores.max()).tolist())) if labels else {}
-                known = ud.normalize("NFKC", html.unescape(post_title)) if isinstance(post_title, str) else None
+                    seen[title] = wording(title)
+                known = _clean(post_title) if isinstance(post_title, str) else None
                 out.append(pair_weight(title, name, slug_, lang_, known, None if pd.isna(hours) else hours, bool(exact), seen[title]))
             pairs = pd.DataFrame({"id": b["id"], "post": b["lang"] + "/" + b["slug"], "weight": np.array(out, dtype="float64")})
             yield pairs[pairs["weight"] >= LEAST_WEIGHT]
