@@ -118,10 +118,18 @@ def content_dedup(rows: DataFrame, content: Column, order: list[str], path: str)
 
 
 def collision_names(rows: DataFrame, folder: str, name: str, content_hash: str, order: list[str]) -> DataFrame:
-    """A name per distinct content in a folder: the first keeps it, the others get _2, _3, ... in order of their first row."""
+    """A name per distinct content in a folder: the first keeps it, the others get _2, _3, ... in order of their first row.
+
+    Contents are numbered by a distributed sort, so a name that a third of all
+    contents want isn't dealt with by one task. Nulls are equal to nulls.
+    """
     first = rows.groupBy(folder, name, content_hash).agg(F.min(F.struct(*order)).alias("__at"))
-    rank = F.row_number().over(W.partitionBy(folder, name).orderBy("__at", content_hash))
-    return first.select(folder, name, content_hash, rank.alias("__n")).withColumn("saved_name", F.concat(F.col(name), F.when(F.col("__n") > 1, F.concat(F.lit("_"), F.col("__n").cast("string"))).otherwise(""))).drop("__n")
+    placed = with_position(first, [F.col(folder), F.col(name), F.col("__at"), F.col(content_hash)], "__pos")
+    start = placed.groupBy(F.col(folder).alias("__f"), F.col(name).alias("__m")).agg(F.min("__pos").alias("__start"))
+    n = F.col("__pos") - F.col("__start") + 1
+    suffix = F.when(n > 1, F.concat(F.lit("_"), n.cast("string"))).otherwise("")
+    met = placed.join(start, F.col(folder).eqNullSafe(F.col("__f")) & F.col(name).eqNullSafe(F.col("__m")))
+    return met.select(folder, name, content_hash, F.concat(F.col(name), suffix).alias("saved_name"))
 
 
 def first_available(rows: DataFrame, sources: list[tuple[str, DataFrame]], keys: list[str], value: str) -> DataFrame:
