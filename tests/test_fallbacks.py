@@ -112,3 +112,33 @@ def test_styles_linked_data_logo_tags_and_spellings(spark):
     assert css.select(render.absolute_css("css", "base")).first()[0] == "a{background:url(https://h/i.png)} b{src:url('data:x')}"
     listing = '<html><link rel="next" href="x"><div class="post-feed"><p>old</p></div><nav class="pagination">1</nav></html>'
     assert render.listing_template(listing) == '<html><div class="post-feed">{posts}</div></html>' and render.listing_template("<p>x</p>") is None
+
+
+def test_stages_take_overrides_the_archive_and_like_headings(spark):
+    from folioforge.plans.pipeline import Stages
+
+    config = Config(blog_host="blog.h", image_hosts=("blog.h",), image_overrides={"https://blog.h/content/images/c.png": "https://blog.h/content/images/t.png"}, heading_similarity=0.8)
+    page = lambda body: f'<html><head><meta property="article:tag" content="Notice"></head><body><article><h1>T</h1><h2>Rewards of may</h2>{body}</article></body></html>'.encode()
+    image = lambda n: f'<img src="/content/images/{n}.png">'
+    posts = spark.createDataFrame([("https://blog.h/p/", "2024-05-02", ""), ("https://blog.h/q/", "2024-05-03", "")], "url string, lastmod string, published_time string")
+    good = lambda url, kind, content: (url, 200, url, kind, "", content)
+    fetches = spark.createDataFrame(
+        [
+            good("https://blog.h/p/", "text/html", page(image("a") + image("b") + image("c"))),
+            good("https://blog.h/q/", "text/html", page(image("x") + image("y") + image("lost"))),
+            good("https://blog.h/content/images/a.png", "image/png", b"a"),
+            good("https://snap/b", "image/png", b"b"),
+        ],
+        "url string, status int, final_url string, content_type string, content_disposition string, content binary",
+    )
+    archive = spark.createDataFrame([("https://blog.h/content/images/b.png", "https://snap/b", "https://snap/b", "image/png", 1)], ATTEMPT)
+    earlier = spark.createDataFrame([("https://blog.h/content/images/t.png", "images/t.png"), ("https://blog.h/content/images/c.png", "images/c-of-before.png")], "clean_url string, relative_path string")
+    run = lambda retry: Stages(posts, fetches, config, archive=archive, earlier=earlier, retry=retry).run(("html", "images"))
+    out = run(False)
+    paths = {r.clean_url.rsplit("/", 1)[1]: r.relative_path for r in out["image_map"].collect()}
+    assert set(paths) == {"a.png", "b.png", "c.png"} and paths["c.png"] == "images/t.png"
+    assert sorted(r.img_url.rsplit("/", 1)[1] for r in out["failed_images"].collect()) == ["lost.png", "x.png", "y.png"]
+    out = run(True)
+    paths = {r.clean_url.rsplit("/", 1)[1]: r.relative_path for r in out["image_map"].collect()}
+    assert paths["lost.png"] == "images/c-of-before.png" and "x.png" not in paths
+    assert sorted(r.img_url.rsplit("/", 1)[1] for r in out["failed_images"].collect()) == ["x.png", "y.png"]
