@@ -19,6 +19,7 @@ def local_session(cpus: int | None = None, memory: str = "8g", shuffle_partition
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -52,10 +53,24 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: tables written by `stored` in this process, that `clean_stored` removes
+_WRITTEN: list[str] = []
+
+
+def clean_stored(spark: SparkSession) -> int:
+    """Remove the tables that `stored` has written, once no result that reads them is needed any more; their number."""
+    done = 0
+    while _WRITTEN:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        done += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+    return done
+
+
 def stored(df: DataFrame) -> DataFrame:
     """df as a written table in the shared folder: columnar, compressed, and read again by any number of consumers."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/folioforge-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from folioforge.operators.relations import stale_posts
+
 
 def new_files(spark: SparkSession, folder: str, schema: str, per_trigger: int = 1000) -> DataFrame:
     """Rows of Parquet files as they arrive in a folder; what was read is kept in the query's checkpoint."""
@@ -42,4 +44,4 @@ def run_once(rows: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int]
 
 def refresh(batch: DataFrame, stale: DataFrame, post: str, unmapped: str, key: str) -> DataFrame:
     """Posts of the stale ledger that new keys make ready to be written again."""
-    return stale.select(post, F.explode(unmapped).alias(key)).join(batch.select(key).distinct(), key, "left_semi").select(post).distinct()
+    return stale_posts(stale, post, unmapped, batch, key)

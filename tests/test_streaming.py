@@ -41,3 +41,11 @@ def test_refresh(spark):
     stale = spark.createDataFrame([("p", ["a", "b"]), ("q", ["c"])], "post string, unmapped array<string>")
     batch = spark.createDataFrame([("b",), ("b",)], "url string")
     assert [r.post for r in ingest.refresh(batch, stale, "post", "unmapped", "url").collect()] == ["p"]
+
+
+def test_written_tables_are_removed_on_request(spark):
+    from folioforge.session import clean_stored, stored
+
+    clean_stored(spark)
+    df = stored(spark.range(5))
+    assert df.count() == 5 and clean_stored(spark) == 1 and clean_stored(spark) == 0
