@@ -133,3 +133,37 @@ def test_candidates_against_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(announcements, "candidate_pairs", every)
     whole = {(r.id, r.post) for r in announcements.announcement_pairs(spark, folder).filter("weight >= 0").collect()}
     assert keyed <= whole and len(keyed) >= 0.9 * len(whole) > 0, (len(keyed), len(whole))
+
+
+def test_titles_alike_at_one_time_are_no_candidates_unless_they_have_the_name(spark, monkeypatch):
+    """Pairs that the weights may accept are all there, pairs of like wording with another name are not, however the blocks are cut."""
+    import random
+
+    from folioforge.plans import announcements
+
+    rng = random.Random(8)
+    names = list(dict.fromkeys("".join(rng.choice(["vel", "hum", "kir", "dor", "nes", "tor", "sha", "gol", "pim"]) for _ in range(3)) for _ in range(45)))[:40]
+    at = ms(2024, 2, 1, 12)
+    wording = "Maintenance notice for the {} realm".format
+    rows = [(n, "en", name, wording(name.title()), None if n % 10 == 9 else at, at if n % 20 == 9 else None) for n, name in enumerate(names)]
+    posts = spark.createDataFrame(rows, "post_no bigint, lang string, name string, post_title string, at bigint, until bigint")
+    titles = [wording(name.title()) for name in names] + ["Maintenance notice for the", wording(names[3][:3] + "b" + names[3][4:])]
+    hour = announcements.HOUR
+    asked = [(n, title, at + 2 * hour) for n, title in enumerate(titles)] + [(900, titles[0], at - 40 * hour), (901, titles[9], at + 90 * hour), (902, titles[19], at + 90 * hour), (903, titles[0], at + 84 * hour)]
+    channel = spark.createDataFrame(asked, "title_no bigint, title string, ms bigint")
+    pairs = lambda: [(r.title_no, r.post_no) for r in announcements.candidate_pairs(posts, channel).collect()]
+    found = pairs()
+    may = set()
+    for no, title, when in asked:
+        for n, _, name, post_title, day, until in rows:
+            if (day is None or -36 * hour <= when - day <= 84 * hour) and (until is None or when <= until + 84 * hour):
+                if announcements.pair_weight(title, name, f"maintenance-{name}", "en", post_title, None if day is None else (when - day) / hour, day is not None, {}) >= 0:
+                    may.add((no, n))
+    assert may <= set(found) and len(found) == len(set(found))
+    # all pairs of like wording would be some 1,700; the cut title goes with every post
+    assert {p for p in found if p[0] == 40} == {(40, n) for n in range(len(names))}
+    assert {(900, 0), (901, 9)}.isdisjoint(found) and {(902, 19), (903, 0), (41, 3)} <= set(found)
+    assert len(found) < 300, len(found)
+    monkeypatch.setattr(announcements, "BLOCK_TITLES", 7)
+    monkeypatch.setattr(announcements, "BLOCK_POSTS", 11)
+    assert sorted(pairs()) == sorted(found)
